@@ -41,7 +41,7 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write with a header, keeping outer spaces and the empty-string / NULL difference."""
+    """Write with a header, keeping outer spaces. An empty string is read back as NULL."""
     df.write.mode("overwrite").options(
         header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)

@@ -300,7 +300,13 @@ def _dollars(expression: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "bronze_roundtrip": _with("raw", "SELECT " + ", ".join(f'"{n}"' for n, _ in RAW_FIELDS) + " FROM raw"),
+    # an empty CSV field is NULL
+    "bronze_roundtrip": _with(
+        "raw",
+        "SELECT "
+        + ", ".join(f"""nullif("{n}", '') AS "{n}\"""" if kind == "string" else f'"{n}"' for n, kind in RAW_FIELDS)
+        + " FROM raw",
+    ),
     "silver_clean": _with("silver", "SELECT * FROM silver"),
     "silver_rejects": _with(
         "dated",
