@@ -112,7 +112,9 @@ def claim_rollup(
     if dim is not None:
         chosen = dim if where is None else dim.filter(where)
         taken = {dim_key: "__dim_key", **{c: c for c in by if c in dim.columns}}
-        narrow = fact.select("collision_id", fact_key, *[c for c in by if c not in dim.columns])
+        narrow = fact.filter(F.col(fact_key).isNotNull()).select(
+            "collision_id", fact_key, *[c for c in by if c not in dim.columns]
+        )
         rows = lookup(narrow, chosen, {fact_key: dim_key}, taken, limits=limits)
         rows = rows.filter(F.col("__dim_key").isNotNull())
     groups = rows.groupBy("collision_id", *by).agg(F.count(F.lit(1)).alias("__rows"))
