@@ -15,10 +15,10 @@ from starfold.operators.keys import dense_key
 from starfold.operators.lookup import lookup
 from starfold.operators.present import present
 from starfold.operators.quality import (
+    check_key,
     check_reference,
     check_row_counts,
     check_rules,
-    check_unique,
     exit_code,
     orphan_keys,
     run_checks,
@@ -39,10 +39,10 @@ __all__ = [
     "build_location_dim",
     "build_time_dim",
     "build_vehicle_dim",
+    "check_key",
     "check_reference",
     "check_row_counts",
     "check_rules",
-    "check_unique",
     "claim_rollup",
     "claims_by_severity",
     "claims_profile",

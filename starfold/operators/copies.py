@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from starfold.operators.keys import dense_key
 from starfold.operators.skew import LIMITS, Limits, hot_hashes, key_hash
+from starfold.sources.tables import stored_rows
 
 
 def number_copies(
@@ -24,14 +25,14 @@ def number_copies(
     """
     window = Window.partitionBy(identity).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     numbered = F.row_number().over(window).cast("bigint").alias(out)
-    hot = hot_hashes(df, {"id": [identity]}, limits)["id"]
+    hot = hot_hashes(df, {"id": [identity]}, limits, rows=stored_rows(df))["id"]
     if not hot:
         return df.select("*", numbered)
     is_hot = key_hash([F.col(identity)]).isin(*hot)
     cold = df.filter(~is_hot).select("*", numbered)
-    # the physical row position spreads identical rows and is fixed by the stored order of dense_key
+    # the physical row position tells apart identical rows and is fixed by the stored order of dense_key
     spread = df.filter(is_hot).select("*", F.monotonically_increasing_id().alias("__tie"))
-    ranked = dense_key(spread, [identity, *order, "__tie"], "__rank", "bigint")
+    ranked = dense_key(spread, [identity, *order, "__tie"], "__rank", "bigint", limits=limits)
     first = ranked.groupBy(F.col(identity).alias("__id")).agg(F.min("__rank").alias("__first"))
     counted = ranked.join(F.broadcast(first), F.col(identity).eqNullSafe(F.col("__id"))).select(
         *df.columns, (F.col("__rank") - F.col("__first") + 1).alias(out)

@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 
 from starfold.functions import calendar_columns, classify, joined_name
 from starfold.operators.keys import dense_key
+from starfold.operators.skew import LIMITS, Limits
 from starfold.rules import FACTOR_DEFAULT, FACTOR_RULES, UNKNOWN_LOCATION, VEHICLE_RULES
 
 
 def build_time_dim(
-    df: DataFrame, date: str = "crash_date", clock: str = "crash_time_str", key: str = "time_key"
+    df: DataFrame,
+    date: str = "crash_date",
+    clock: str = "crash_time_str",
+    key: str = "time_key",
+    *,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """One row per (date, clock string), with calendar attributes."""
     moments = df.select(date, clock).distinct()
     attributes = [c.alias(name) for name, c in calendar_columns(date, clock).items()]
-    return dense_key(moments, [date, clock], key).select(key, date, clock, *attributes)
+    return dense_key(moments, [date, clock], key, limits=limits).select(key, date, clock, *attributes)
 
 
 def build_location_dim(
@@ -32,11 +38,14 @@ def build_location_dim(
     longitude: str = "longitude",
     key: str = "location_key",
     unknown: str = UNKNOWN_LOCATION,
+    *,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """One row per (area columns, coordinates) with both coordinates known, and a display name."""
     natural = [*area, latitude, longitude]
     places = df.select(*natural).filter(F.col(latitude).isNotNull() & F.col(longitude).isNotNull()).distinct()
-    return dense_key(places, natural, key).select(key, *natural, joined_name(area, unknown).alias("location_name"))
+    named = joined_name(area, unknown).alias("location_name")
+    return dense_key(places, natural, key, limits=limits).select(key, *natural, named)
 
 
 def build_code_dim(
@@ -47,15 +56,16 @@ def build_code_dim(
     key: str,
     rules: Sequence[tuple[str, str]],
     default: Column | str | None = None,
+    *,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """One row per code found in any of the role columns, with its class. The roles are read in one pass."""
-    codes = (
-        df.select(F.explode(F.array(*roles)).alias(code)).filter(F.col(code).isNotNull()).distinct()
-    )
-    return dense_key(codes, [code], key).select(key, code, classify(F.col(code), rules, default).alias(label))
+    codes = df.select(F.explode(F.array(*roles)).alias(code)).filter(F.col(code).isNotNull()).distinct()
+    classed = classify(F.col(code), rules, default).alias(label)
+    return dense_key(codes, [code], key, limits=limits).select(key, code, classed)
 
 
-def build_vehicle_dim(df: DataFrame) -> DataFrame:
+def build_vehicle_dim(df: DataFrame, *, limits: Limits = LIMITS) -> DataFrame:
     return build_code_dim(
         df,
         ("vehicle_type_code_1", "vehicle_type_code_2"),
@@ -63,10 +73,11 @@ def build_vehicle_dim(df: DataFrame) -> DataFrame:
         "vehicle_type_name",
         "vehicle_key",
         VEHICLE_RULES,
+        limits=limits,
     )
 
 
-def build_factor_dim(df: DataFrame) -> DataFrame:
+def build_factor_dim(df: DataFrame, *, limits: Limits = LIMITS) -> DataFrame:
     return build_code_dim(
         df,
         ("contributing_factor_vehicle_1", "contributing_factor_vehicle_2"),
@@ -75,4 +86,5 @@ def build_factor_dim(df: DataFrame) -> DataFrame:
         "factor_key",
         FACTOR_RULES,
         FACTOR_DEFAULT,
+        limits=limits,
     )

@@ -11,7 +11,7 @@ from starfold.functions import severity
 from starfold.operators.lookup import lookup
 from starfold.operators.skew import LIMITS, Limits, hot_hashes
 from starfold.rules import COUNTS, FACT_KEYS
-from starfold.sources.tables import fits
+from starfold.sources.tables import fits, stored_rows
 
 # dimension, fact key, {silver column: dimension column}; the code lookups come first because
 # they turn wide strings into integers before anything has to be shuffled
@@ -44,11 +44,9 @@ def build_fact(
     code, say) leaves the key NULL. ``null_safe=True`` finds those rows of the
     time and location dimensions too.
     """
-    large = {
-        name: not fits(dim, limits.broadcast_rows) for name, dim in dims.items()
-    }
+    large = {name: not fits(dim, limits.broadcast_rows) for name, dim in dims.items()}
     wanted = {fact_key: list(on) for dim, fact_key, on in _LOOKUPS if large[dim]}
-    hot = hot_hashes(silver, wanted, limits) if wanted else {}
+    hot = hot_hashes(silver, wanted, limits, rows=stored_rows(silver) if wanted else None)
 
     killed, injured = F.col("persons_killed"), F.col("persons_injured")
     rows = silver

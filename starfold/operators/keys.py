@@ -8,25 +8,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starfold.sources.tables import stage
+from starfold.operators.skew import LIMITS, Limits
+from starfold.sources.tables import fits, stage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index within a partition in these low bits
 
 
-def dense_key(df: DataFrame, order: Sequence[str], key: str, key_type: str = "int") -> DataFrame:
-    """Prepend ``key``: the integers ``row_number() OVER (ORDER BY order)`` would give, NULLs first.
+def dense_key(
+    df: DataFrame, order: Sequence[str], key: str, key_type: str = "int", *, limits: Limits = LIMITS
+) -> DataFrame:
+    """Prepend ``key``: the integers ``row_number() OVER (ORDER BY order)`` gives, NULLs first.
 
-    A window without PARTITION BY sends every row to one task. Here the rows are
-    range-partitioned and sorted in parallel, each row's (partition, index) is
-    stored with it, and the offset of every partition, one row per partition, is
-    broadcast. One shuffle. The stored copy makes the positions final: range
+    ``df`` is stored first, which tells its size. Up to ``limits.one_task_rows``
+    rows that window is used as it is. It would send every row to one task, so
+    more rows are range-partitioned and sorted in parallel, each row's
+    (partition, index) is stored with it, and the offset of every partition, one
+    row per partition, is broadcast. Storing makes the positions final: range
     bounds are sampled, so computing them again could move rows.
 
     ``order`` has to be unique per row for the keys to be reproducible.
     """
     by = [F.col(c).asc_nulls_first() for c in order]
+    stored = stage(df, f"rows-{key}")
+    if fits(stored, limits.one_task_rows):
+        return stored.select(F.row_number().over(Window.orderBy(*by)).cast(key_type).alias(key), *df.columns)
     positioned = stage(
-        df.repartitionByRange(*by)
+        stored.repartitionByRange(*by)
         .sortWithinPartitions(*by)
         .select("*", F.monotonically_increasing_id().alias("__pos")),
         f"key-{key}",

@@ -11,7 +11,7 @@ from starfold import rules
 from starfold.functions import severity
 from starfold.operators.lookup import lookup
 from starfold.operators.skew import LIMITS, Limits, hot_hashes
-from starfold.sources.tables import fits
+from starfold.sources.tables import fits, stored_rows
 
 # dimension, its key, fact key, renamed columns: a dimension used in two roles appears twice
 ROLES = (
@@ -27,7 +27,7 @@ ROLES = (
 def present(fact: DataFrame, dims: Mapping[str, DataFrame], *, limits: Limits = LIMITS) -> DataFrame:
     """Fact joined with every dimension role, 40 renamed columns and the 6 keys."""
     wanted = {key: [key] for dim, _, key, _ in ROLES if not fits(dims[dim], limits.broadcast_rows)}
-    hot = hot_hashes(fact, wanted, limits) if wanted else {}
+    hot = hot_hashes(fact, wanted, limits, rows=stored_rows(fact) if wanted else None)
     rows = fact
     for dim, dim_key, fact_key, columns in ROLES:
         # prefixed, since the standard names differ from the key names only in case

@@ -14,12 +14,14 @@ class Limits:
     """Size limits of the physical choices. They change plans, never results.
 
     broadcast_rows: a dimension of more rows is never broadcast.
+    one_task_rows: more rows are never sorted in one task.
     hot_keys: a key is hot when it holds more than 1/hot_keys of all rows, so
         there can be no more than ``hot_keys`` hot keys.
     hot_rows: and at least this many rows, so small inputs have no hot keys.
     """
 
     broadcast_rows: int = 500_000
+    one_task_rows: int = 1_000_000
     hot_keys: int = 2048
     hot_rows: int = 1_000_000
 
@@ -31,13 +33,18 @@ def key_hash(columns: Sequence[Column]) -> Column:
     return F.xxhash64(*columns)
 
 
-def hot_hashes(df: DataFrame, keys: Mapping[str, Sequence[str]], limits: Limits = LIMITS) -> dict[str, list[int]]:
+def hot_hashes(
+    df: DataFrame, keys: Mapping[str, Sequence[str]], limits: Limits = LIMITS, *, rows: int | None = None
+) -> dict[str, list[int]]:
     """Hashes of the hot keys of each named key set, from one scan without a shuffle of rows.
 
     A frequent-items sketch (``approx_top_k``) per task finds every key over the
     threshold; what comes to the driver is at most ``hot_keys`` integers per
     key set. A key listed by mistake only takes the other, equally exact, route.
+    ``rows``, when known, saves the scan of a table too small to have hot keys.
     """
+    if not keys or (rows is not None and rows < limits.hot_rows):
+        return {name: [] for name in keys}
     hashed = df.select(*[key_hash([F.col(c) for c in columns]).alias(name) for name, columns in keys.items()])
     tracked = limits.hot_keys * 32
     row = hashed.agg(

@@ -85,7 +85,7 @@ class Lake:
                 "dim_vehicle": build_vehicle_dim,
                 "dim_factor": build_factor_dim,
             }[name]
-            return build(self.table("silver"))
+            return build(self.table("silver"), limits=self.limits)
         if name == "fact_collisions":
             return build_fact(self.table("silver"), self.dims(), null_safe=self.null_safe, limits=self.limits)
         if name == "fact_claims":

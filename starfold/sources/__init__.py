@@ -9,6 +9,7 @@ from starfold.sources.tables import (
     register_views,
     scratch_dir,
     stage,
+    stored_rows,
     to_pandas,
     union_all,
     write_table,
@@ -24,6 +25,7 @@ __all__ = [
     "register_views",
     "scratch_dir",
     "stage",
+    "stored_rows",
     "to_pandas",
     "union_all",
     "write_csv",

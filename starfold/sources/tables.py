@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
+from weakref import WeakKeyDictionary
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -69,9 +70,23 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return write_table(df, f"{scratch_dir(df.sparkSession)}/starfold/{label}-{uuid.uuid4().hex}")
 
 
+_row_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
+
+def stored_rows(df: DataFrame) -> int:
+    """Row count of a stored table, or of a selection of its columns.
+
+    It comes from Parquet footers and is kept for the life of ``df``, whose list
+    of files does not change either.
+    """
+    if df not in _row_counts:
+        _row_counts[df] = df.count()
+    return _row_counts[df]
+
+
 def fits(df: DataFrame, rows: int) -> bool:
-    """Whether a stored table has at most ``rows`` rows (a count over Parquet footers)."""
-    return df.count() <= rows
+    """Whether a stored table has at most ``rows`` rows."""
+    return stored_rows(df) <= rows
 
 
 def inspect(df: DataFrame, rows: int = 20) -> None:

@@ -18,7 +18,7 @@ from starfold.sources import stage
 from verification.binding import raw_collisions
 
 SF = "/root/testdata/sf0.001"
-LARGE = Limits(broadcast_rows=0, hot_keys=64, hot_rows=10)
+LARGE = Limits(broadcast_rows=0, one_task_rows=0, hot_keys=64, hot_rows=10)
 
 
 @pytest.fixture(scope="module")
@@ -68,7 +68,9 @@ def test_no_location_without_coordinates(dims):
 def test_dims_do_not_depend_on_input_order(silver, dims):
     shuffled = silver.repartition(13, "longitude")
     assert build_location_dim(shuffled).exceptAll(dims["dim_location"]).count() == 0
-    assert build_factor_dim(shuffled).exceptAll(dims["dim_factor"]).count() == 0
+    assert build_factor_dim(shuffled, limits=LARGE).exceptAll(dims["dim_factor"]).count() == 0
+    assert build_time_dim(shuffled, limits=LARGE).exceptAll(dims["dim_time"]).count() == 0
+    assert build_vehicle_dim(shuffled, limits=LARGE).exceptAll(dims["dim_vehicle"]).count() == 0
 
 
 @pytest.mark.parametrize("null_safe", [False, True])

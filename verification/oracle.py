@@ -315,6 +315,7 @@ ORACLES: dict[str, str] = {
     ),
     "silver_id": _with("dated", 'SELECT collision_id, count(*) AS "rows" FROM dated GROUP BY 1'),
     **{name: _with("dims", f"SELECT * FROM {name}") for name in ("dim_time", "dim_location", "dim_vehicle", "dim_factor")},
+    "dim_location_large": _with("dims", "SELECT * FROM dim_location"),
     "dim_key_scale": f"""SELECT {_key("l_partkey, l_suppkey")} AS pair_key, l_partkey, l_suppkey
   FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)""",
     "fact_collisions": _with("fact", "SELECT * FROM fact"),

@@ -13,6 +13,7 @@ from starfold.operators import (
     Limits,
     build_code_dim,
     build_fact,
+    build_location_dim,
     build_time_dim,
     claims_by_severity,
     claims_profile,
@@ -70,9 +71,9 @@ def silver_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_key_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense key over the distinct (part, supplier) pairs of all line items."""
+    """Dense key over the distinct (part, supplier) pairs of all line items, by the plan for many rows."""
     pairs = load(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    return dense_key(pairs, ["l_partkey", "l_suppkey"], "pair_key")
+    return dense_key(pairs, ["l_partkey", "l_suppkey"], "pair_key", limits=Limits(one_task_rows=0))
 
 
 def fact_collisions_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,11 @@ def fact_collisions_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact(built.table("silver"), built.dims(), limits=Limits(broadcast_rows=0, hot_keys=64, hot_rows=10))
 
 
+def dim_location_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The location dimension by the plan for more rows than one task may sort."""
+    return build_location_dim(lake(spark, sf_dir).table("silver"), limits=Limits(one_task_rows=0))
+
+
 def claims_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = lake(spark, sf_dir).gold()
     return claims_profile(gold.claims(), gold.fact_collisions)
@@ -200,6 +206,7 @@ QUERIES: dict[str, Query] = {
     "fact_collisions": _table("fact_collisions"),
     "fact_collisions_nullsafe": fact_collisions_nullsafe,
     "fact_collisions_large_dims": fact_collisions_large_dims,
+    "dim_location_large": dim_location_large,
     "present_view": _table("presentation"),
     "claims": _table("fact_claims"),
     "claims_profile": claims_profile_query,
