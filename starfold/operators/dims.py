@@ -1,7 +1,8 @@
 """Dimension tables: distinct natural keys, derived attributes, dense surrogate key.
 
 Each distinct runs as a partial aggregation before its shuffle, so a natural key
-repeated in a third of all rows costs one row per task.
+repeated in a third of all rows costs one row per task. The input is a stored
+table, or columns of one: its row count bounds the size of the dimension.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from starfold.functions import calendar_columns, classify, joined_name
 from starfold.operators.keys import dense_key
 from starfold.operators.skew import LIMITS, Limits
 from starfold.rules import FACTOR_DEFAULT, FACTOR_RULES, UNKNOWN_LOCATION, VEHICLE_RULES
+from starfold.sources.tables import stored_rows
 
 
 def build_time_dim(
@@ -28,7 +30,8 @@ def build_time_dim(
     """One row per (date, clock string), with calendar attributes."""
     moments = df.select(date, clock).distinct()
     attributes = [c.alias(name) for name, c in calendar_columns(date, clock).items()]
-    return dense_key(moments, [date, clock], key, limits=limits).select(key, date, clock, *attributes)
+    keyed = dense_key(moments, [date, clock], key, at_most=stored_rows(df), limits=limits)
+    return keyed.select(key, date, clock, *attributes)
 
 
 def build_location_dim(
@@ -45,7 +48,8 @@ def build_location_dim(
     natural = [*area, latitude, longitude]
     places = df.select(*natural).filter(F.col(latitude).isNotNull() & F.col(longitude).isNotNull()).distinct()
     named = joined_name(area, unknown).alias("location_name")
-    return dense_key(places, natural, key, limits=limits).select(key, *natural, named)
+    keyed = dense_key(places, natural, key, at_most=stored_rows(df), limits=limits)
+    return keyed.select(key, *natural, named)
 
 
 def build_code_dim(
@@ -62,7 +66,8 @@ def build_code_dim(
     """One row per code found in any of the role columns, with its class. The roles are read in one pass."""
     codes = df.select(F.explode(F.array(*roles)).alias(code)).filter(F.col(code).isNotNull()).distinct()
     classed = classify(F.col(code), rules, default).alias(label)
-    return dense_key(codes, [code], key, limits=limits).select(key, code, classed)
+    keyed = dense_key(codes, [code], key, at_most=len(roles) * stored_rows(df), limits=limits)
+    return keyed.select(key, code, classed)
 
 
 def build_vehicle_dim(df: DataFrame, *, limits: Limits = LIMITS) -> DataFrame:

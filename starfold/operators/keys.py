@@ -15,23 +15,33 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row index within a parti
 
 
 def dense_key(
-    df: DataFrame, order: Sequence[str], key: str, key_type: str = "int", *, limits: Limits = LIMITS
+    df: DataFrame,
+    order: Sequence[str],
+    key: str,
+    key_type: str = "int",
+    *,
+    at_most: int | None = None,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """Prepend ``key``: the integers ``row_number() OVER (ORDER BY order)`` gives, NULLs first.
 
-    ``df`` is stored first, which tells its size. Up to ``limits.one_task_rows``
-    rows that window is used as it is. It would send every row to one task, so
-    more rows are range-partitioned and sorted in parallel, each row's
-    (partition, index) is stored with it, and the offset of every partition, one
-    row per partition, is broadcast. Storing makes the positions final: range
-    bounds are sampled, so computing them again could move rows.
+    Up to ``limits.one_task_rows`` rows that window is used as it is. ``at_most``
+    is a known bound on the number of rows; without one that is low enough, the
+    rows are stored and counted. The window sends every row to one task, so more
+    rows are range-partitioned and sorted in parallel, each row's (partition,
+    index) is stored with it, and the offset of every partition, one row per
+    partition, is broadcast. Storing makes the positions final: range bounds are
+    sampled, so computing them again could move rows.
 
     ``order`` has to be unique per row for the keys to be reproducible.
     """
     by = [F.col(c).asc_nulls_first() for c in order]
+    numbered = F.row_number().over(Window.orderBy(*by)).cast(key_type).alias(key)
+    if at_most is not None and at_most <= limits.one_task_rows:
+        return df.select(numbered, *df.columns)
     stored = stage(df, f"rows-{key}")
     if fits(stored, limits.one_task_rows):
-        return stored.select(F.row_number().over(Window.orderBy(*by)).cast(key_type).alias(key), *df.columns)
+        return stored.select(numbered, *df.columns)
     positioned = stage(
         stored.repartitionByRange(*by)
         .sortWithinPartitions(*by)

@@ -30,6 +30,13 @@ def test_equals_row_number(spark, n, limits):
     assert got.exceptAll(windowed(df, ["a", "b"])).count() == 0 and got.count() == n
 
 
+def test_a_low_bound_saves_the_stored_copy(spark):
+    df = pairs(spark, 500)
+    got = dense_key(df, ["a", "b"], "key", at_most=500)
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.exceptAll(windowed(df, ["a", "b"])).count() == 0
+
+
 def test_input_order_and_partitions_do_not_matter(spark):
     df = pairs(spark, 3000)
     first = dense_key(df, ["a", "b"], "key", limits=MANY)
