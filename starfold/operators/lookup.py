@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starfold.operators.skew import LIMITS, Limits, hot_hashes, key_hash
-from starfold.sources.tables import fits
+from starfold.sources.tables import stored_rows
 
 
 def lookup(
@@ -20,6 +20,7 @@ def lookup(
     *,
     null_safe: bool = False,
     hot: Sequence[int] | None = None,
+    right_rows: int | None = None,
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """Add ``take`` (right column -> new name) to every row of ``left``; NULL where nothing matches.
@@ -27,7 +28,7 @@ def lookup(
     ``on`` maps left key columns to right ones; the right key is unique, so the
     number of rows never changes. ``null_safe`` lets NULL match NULL. ``hot``
     gives the hot key hashes when known (``hot_hashes``); otherwise ``left`` is
-    profiled.
+    profiled. ``right`` is a stored table, or ``right_rows`` bounds its rows.
 
     - A right side of at most ``limits.broadcast_rows`` rows is broadcast.
     - A larger one is joined by shuffle, after the hot keys: their right rows,
@@ -48,7 +49,7 @@ def lookup(
         tests = [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs]
         return reduce(lambda x, y: x & y, tests)
 
-    if fits(right, limits.broadcast_rows):
+    if (stored_rows(right) if right_rows is None else right_rows) <= limits.broadcast_rows:
         joined = left.join(F.broadcast(narrow), same(list(zip(lkeys, names))), "left")
         return joined.select(*left.columns, *[F.col(v).alias(n) for v, n in zip(values, take.values())])
 

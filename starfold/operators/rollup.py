@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from starfold.operators.claims import money
 from starfold.operators.lookup import lookup
-from starfold.operators.skew import LIMITS, Limits
-from starfold.sources.tables import fits
+from starfold.operators.skew import LIMITS, Limits, hot_hashes
+from starfold.sources.tables import fits, stored_rows
 
 
 @dataclass(frozen=True)
@@ -97,27 +97,29 @@ def claim_rollup(
     dim_key: str | None = None,
     where: Column | None = None,
     keep_unclaimed: bool = False,
+    count_ids: bool = False,
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """Claim counts and amounts by fact or dimension attributes, over all (fact, claim) pairs of one id.
 
     Ids repeat on both sides, so the pairs of one id can be many. They are never
-    formed: claims are reduced to one row per id, the fact to one row per (id,
-    group), and a pair's weight is the product of the counts. ``keep_unclaimed``
-    makes it a left join. Columns: ``collision_count`` (distinct ids),
-    ``claim_count``, ``total``, ``mean``, ``lowest``, ``highest``; amounts are
-    exact decimals, the mean is a double.
+    formed: claims are reduced to one row per id and looked up like a
+    dimension. ``keep_unclaimed`` makes it a left join. ``count_ids`` adds
+    ``collision_count``, the distinct ids of a group; the fact is then reduced to
+    one row per (id, group) first, which weighs as many pairs as it had rows.
+
+    Columns: ``claim_count``, ``total``, ``mean``, ``lowest``, ``highest``;
+    amounts are exact decimals, the mean is a double.
     """
-    rows = fact
+    rows = fact.select("collision_id", *by) if dim is None else None
     if dim is not None:
         chosen = dim if where is None else dim.filter(where)
         taken = {dim_key: "__dim_key", **{c: c for c in by if c in dim.columns}}
         narrow = fact.filter(F.col(fact_key).isNotNull()).select(
             "collision_id", fact_key, *[c for c in by if c not in dim.columns]
         )
-        rows = lookup(narrow, chosen, {fact_key: dim_key}, taken, limits=limits)
+        rows = lookup(narrow, chosen, {fact_key: dim_key}, taken, right_rows=stored_rows(dim), limits=limits)
         rows = rows.filter(F.col("__dim_key").isNotNull())
-    groups = rows.groupBy("collision_id", *by).agg(F.count(F.lit(1)).alias("__rows"))
     amount = money("claim_amount")
     per_id = claims.groupBy(F.col("collision_id").alias("__id")).agg(
         F.count("claim_id").alias("__n"),
@@ -126,29 +128,37 @@ def claim_rollup(
         F.min(amount).alias("__low"),
         F.max(amount).alias("__high"),
     )
-    pairs = groups.join(
-        per_id, F.col("collision_id") == F.col("__id"), "left" if keep_unclaimed else "inner"
-    )
-    weighted = F.col("__rows") * F.col("__sum")
+    if count_ids:
+        weight = F.col("__rows")
+        groups = rows.groupBy("collision_id", *by).agg(F.count(F.lit(1)).alias("__rows"))
+        kind = "left" if keep_unclaimed else "inner"
+        pairs = groups.join(per_id, F.col("collision_id") == F.col("__id"), kind)
+    else:
+        weight = F.lit(1).cast("bigint")
+        bound = stored_rows(claims)
+        hot = None
+        if bound > limits.broadcast_rows:
+            hot = hot_hashes(fact, {"id": ["collision_id"]}, limits, rows=stored_rows(fact))["id"]
+        values = {c: c for c in ("__n", "__amounts", "__sum", "__low", "__high")}
+        pairs = lookup(
+            rows.select("collision_id", *by), per_id, {"collision_id": "__id"}, values,
+            hot=hot, right_rows=bound, limits=limits,
+        )
+        if not keep_unclaimed:
+            pairs = pairs.filter(F.col("__n").isNotNull())
+    sums = [
+        F.coalesce(F.sum(weight * F.col("__n")), F.lit(0)).alias("claim_count"),
+        F.sum(weight * F.col("__sum")).alias("total"),
+        F.sum(weight * F.col("__amounts")).alias("__amounts"),
+        F.min("__low").alias("lowest"),
+        F.max("__high").alias("highest"),
+    ]
+    ids = [F.count("collision_id").alias("collision_count")] if count_ids else []
+    mean = (F.col("total").cast("double") / F.nullif("__amounts", F.lit(0))).alias("mean")
     return (
         pairs.groupBy(*by)
-        .agg(
-            F.count("collision_id").alias("collision_count"),
-            F.coalesce(F.sum(F.col("__rows") * F.col("__n")), F.lit(0)).alias("claim_count"),
-            F.sum(weighted).alias("total"),
-            F.sum(F.col("__rows") * F.col("__amounts")).alias("__amounts"),
-            F.min("__low").alias("lowest"),
-            F.max("__high").alias("highest"),
-        )
-        .select(
-            *by,
-            "collision_count",
-            "claim_count",
-            "total",
-            (F.col("total").cast("double") / F.nullif("__amounts", F.lit(0))).alias("mean"),
-            "lowest",
-            "highest",
-        )
+        .agg(*ids, *sums)
+        .select(*by, *(["collision_count"] if count_ids else []), "claim_count", "total", mean, "lowest", "highest")
     )
 
 

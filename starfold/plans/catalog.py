@@ -89,10 +89,10 @@ def by_vehicle(g: Gold, by, measures) -> DataFrame:
     )
 
 
-def claims_by_area(g: Gold, by, *, keep_unclaimed: bool = False) -> DataFrame:
+def claims_by_area(g: Gold, by, **options) -> DataFrame:
     return claim_rollup(
         g.fact_collisions, g.claims(), by, dim=g.dim_location, fact_key="location_key", dim_key="location_key",
-        where=F.col("borough").isNotNull(), keep_unclaimed=keep_unclaimed, limits=g.limits,
+        where=F.col("borough").isNotNull(), limits=g.limits, **options,
     )
 
 
@@ -133,7 +133,7 @@ def q06_yearly_totals(g: Gold) -> DataFrame:
 
 
 def q07_claims_borough(g: Gold) -> DataFrame:
-    rows = claims_by_area(g, ("borough",), keep_unclaimed=True).select(
+    rows = claims_by_area(g, ("borough",), keep_unclaimed=True, count_ids=True).select(
         "borough",
         "collision_count",
         "claim_count",
@@ -175,7 +175,7 @@ def q12_vehicle_claims(g: Gold) -> DataFrame:
     by = ("vehicle_type_name",)
     rows = claim_rollup(
         g.fact_collisions, g.claims(), by, dim=g.dim_vehicle, fact_key="primary_vehicle_key", dim_key="vehicle_key",
-        keep_unclaimed=True, limits=g.limits,
+        keep_unclaimed=True, count_ids=True, limits=g.limits,
     ).select(
         "vehicle_type_name",
         "collision_count",
@@ -225,7 +225,7 @@ def q16_days_to_close(g: Gold) -> DataFrame:
 
 
 def q17_claims_severity(g: Gold) -> DataFrame:
-    rows = claim_rollup(g.fact_collisions, g.claims(), ("severity_category",)).select(
+    rows = claim_rollup(g.fact_collisions, g.claims(), ("severity_category",), limits=g.limits).select(
         "severity_category",
         "claim_count",
         _cents("mean", "avg_claim_amount"),

@@ -67,7 +67,8 @@ def r05_claims_borough(g: Gold) -> DataFrame:
 
 def r06_claims_severity(g: Gold) -> DataFrame:
     """Grouped by the fact's severity; the claims carry a column of that name too."""
-    return _claim_bars(claim_rollup(g.fact_collisions, g.claims(), ("severity_category",)), "severity_category")
+    rows = claim_rollup(g.fact_collisions, g.claims(), ("severity_category",), limits=g.limits)
+    return _claim_bars(rows, "severity_category")
 
 
 def r07_claim_status(g: Gold) -> DataFrame:

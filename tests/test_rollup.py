@@ -72,13 +72,15 @@ def test_large_dimension_is_joined_after_aggregation(spark, star):
 
 @pytest.mark.parametrize("limits", [Limits(), LARGE])
 @pytest.mark.parametrize("keep", [True, False])
-def test_claim_rollup_equals_the_full_join(spark, star, rows, limits, keep):
+@pytest.mark.parametrize("ids", [True, False])
+def test_claim_rollup_equals_the_full_join(spark, star, rows, limits, keep, ids):
     got = claim_rollup(
         star["f"], star["c"], ("borough", "severity_category"), dim=star["d"], fact_key="location_key",
-        dim_key="location_key", where=F.col("borough").isNotNull(), keep_unclaimed=keep, limits=limits,
+        dim_key="location_key", where=F.col("borough").isNotNull(), keep_unclaimed=keep, count_ids=ids, limits=limits,
     )
     join = "LEFT" if keep else ""
-    expected = spark.sql(f"""SELECT borough, severity_category, count(DISTINCT f.collision_id), count(claim_id),
+    distinct = "count(DISTINCT f.collision_id), " if ids else ""
+    expected = spark.sql(f"""SELECT borough, severity_category, {distinct}count(claim_id),
         sum(CAST(claim_amount AS DECIMAL(18,2))),
         CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) / count(claim_amount),
         CAST(min(claim_amount) AS DECIMAL(18,2)), CAST(max(claim_amount) AS DECIMAL(18,2))
@@ -89,8 +91,10 @@ def test_claim_rollup_equals_the_full_join(spark, star, rows, limits, keep):
     assert sum(r["claim_count"] for r in got.collect()) > 100_000  # the pairs of the shared id are all counted
 
 
-def test_claim_rollup_without_any_claim(spark, star):
+def test_claim_rollup_without_any_claim(spark, star, rows):
     none = star["c"].filter("false")
+    by_fact = claim_rollup(star["f"], star["c"], ("severity_category",), limits=LARGE)
+    assert rows(by_fact) == rows(claim_rollup(star["f"], star["c"], ("severity_category",)))
     kept = claim_rollup(star["f"], none, ("severity_category",), keep_unclaimed=True).collect()
     assert {(r["claim_count"], r["total"], r["mean"]) for r in kept} == {(0, None, None)}
     assert claim_rollup(star["f"], none, ("severity_category",)).count() == 0
