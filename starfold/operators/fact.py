@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from starfold.sources.tables import fits, stored_rows
 
 # dimension, fact key, {silver column: dimension column}; the code lookups come first because
 # they turn wide strings into integers before anything has to be shuffled
-_LOOKUPS = (
+LOOKUPS = (
     ("dim_vehicle", "primary_vehicle_key", {"vehicle_type_code_1": "vehicle_type_code"}),
     ("dim_vehicle", "secondary_vehicle_key", {"vehicle_type_code_2": "vehicle_type_code"}),
     ("dim_factor", "primary_factor_key", {"contributing_factor_vehicle_1": "contributing_factor"}),
@@ -27,40 +27,45 @@ _LOOKUPS = (
         {"borough": "borough", "zip_code": "zip_code", "latitude": "latitude", "longitude": "longitude"},
     ),
 )
-_KEY_OF = {
-    "dim_time": "time_key",
-    "dim_location": "location_key",
-    "dim_vehicle": "vehicle_key",
-    "dim_factor": "factor_key",
-}
 
 
 def build_fact(
-    silver: DataFrame, dims: Mapping[str, DataFrame], *, null_safe: bool = False, limits: Limits = LIMITS
+    silver: DataFrame,
+    dims: Mapping[str, DataFrame],
+    *,
+    null_safe: bool = False,
+    lookups: Sequence[tuple[str, str, Mapping[str, str]]] = LOOKUPS,
+    identity: str = "collision_id",
+    measures: Sequence[str] = COUNTS,
+    injured: str = "persons_injured",
+    killed: str = "persons_killed",
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """One fact row per silver row, from stored silver and dimension tables.
 
-    ``null_safe=False`` compares natural keys with ``=``: a NULL part (no zip
-    code, say) leaves the key NULL. ``null_safe=True`` finds those rows of the
-    time and location dimensions too.
+    The surrogate key of a dimension is its first column. ``null_safe=False``
+    compares natural keys with ``=``: a NULL part (no zip code, say) leaves the
+    key NULL. ``null_safe=True`` finds those rows of the time and location
+    dimensions too.
     """
     large = {name: not fits(dim, limits.broadcast_rows) for name, dim in dims.items()}
-    wanted = {fact_key: list(on) for dim, fact_key, on in _LOOKUPS if large[dim]}
+    wanted = {fact_key: list(on) for dim, fact_key, on in lookups if large[dim]}
     hot = hot_hashes(silver, wanted, limits, rows=stored_rows(silver) if wanted else None)
 
-    killed, injured = F.col("persons_killed"), F.col("persons_injured")
     rows = silver
-    for dim, fact_key, on in _LOOKUPS:
+    for i, (dim, fact_key, on) in enumerate(lookups):
         rows = lookup(
-            rows, dims[dim], on, {_KEY_OF[dim]: fact_key},
+            rows, dims[dim], on, {dims[dim].columns[0]: fact_key},
             null_safe=null_safe, hot=hot.get(fact_key), limits=limits,
         )
-        later = {c for _, k, cols in _LOOKUPS if k not in rows.columns for c in cols}
+        later = {c for _, _, columns in lookups[i + 1 :] for c in columns}
         rows = rows.drop(*[c for c in on if c not in later])
+    keys = [fact_key for _, fact_key, _ in lookups]
     return rows.select(
-        "collision_id",
-        *FACT_KEYS,
-        *COUNTS,
-        (injured + killed).alias("total_persons_affected"),
-        severity(killed, injured).alias("severity_category"),
+        identity,
+        *[k for k in FACT_KEYS if k in keys],
+        *[k for k in keys if k not in FACT_KEYS],
+        *measures,
+        (F.col(injured) + F.col(killed)).alias("total_persons_affected"),
+        severity(F.col(killed), F.col(injured)).alias("severity_category"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,33 +24,37 @@ ROLES = (
 )
 
 
-def present(fact: DataFrame, dims: Mapping[str, DataFrame], *, limits: Limits = LIMITS) -> DataFrame:
-    """Fact joined with every dimension role, 40 renamed columns and the 6 keys."""
-    wanted = {key: [key] for dim, _, key, _ in ROLES if not fits(dims[dim], limits.broadcast_rows)}
+def present(
+    fact: DataFrame,
+    dims: Mapping[str, DataFrame],
+    *,
+    roles: Sequence[tuple[str, str, str, Sequence[tuple[str, str]]]] = ROLES,
+    ids: Sequence[tuple[str, str]] = rules.PRESENT_IDS,
+    measures: Sequence[tuple[str, str]] = rules.PRESENT_MEASURES,
+    placeholders: Sequence[str] = rules.PRESENT_PLACEHOLDERS,
+    limits: Limits = LIMITS,
+) -> DataFrame:
+    """Fact joined with every dimension role: renamed columns, then the fact's keys.
+
+    By default 40 renamed columns and 6 keys. ``ids`` and ``measures`` are fact
+    columns; ``placeholders`` are NULL text columns.
+    """
+    wanted = {key: [key] for dim, _, key, _ in roles if not fits(dims[dim], limits.broadcast_rows)}
     hot = hot_hashes(fact, wanted, limits, rows=stored_rows(fact) if wanted else None)
     rows = fact
-    for dim, dim_key, fact_key, columns in ROLES:
+    for dim, dim_key, fact_key, columns in roles:
         # prefixed, since the standard names differ from the key names only in case
         take = {source: f"p_{name}" for source, name in columns}
         rows = lookup(rows, dims[dim], {fact_key: dim_key}, take, hot=hot.get(fact_key), limits=limits)
 
-    def looked_up(columns):
-        return [F.col(f"p_{name}").alias(name) for _, name in columns]
-
-    def own(columns):
-        return [F.col(source).alias(name) for source, name in columns]
-
+    columns = {key: [F.col(f"p_{name}").alias(name) for _, name in named] for _, _, key, named in roles}
+    keys = [k for k in rules.FACT_KEYS if k in columns] + [k for k in columns if k not in rules.FACT_KEYS]
     kind = severity(F.col("persons_killed"), F.col("persons_injured"), rules.SEVERITY_UPPER)
     return rows.select(
-        *own(rules.PRESENT_IDS),
-        *looked_up(rules.PRESENT_TIME),
-        *looked_up(rules.PRESENT_LOCATION),
-        *looked_up(rules.PRESENT_VEHICLE_1),
-        *looked_up(rules.PRESENT_VEHICLE_2),
-        *looked_up(rules.PRESENT_FACTOR_1),
-        *looked_up(rules.PRESENT_FACTOR_2),
-        *own(rules.PRESENT_MEASURES),
+        *[F.col(source).alias(name) for source, name in ids],
+        *[c for key in keys for c in columns[key]],
+        *[F.col(source).alias(name) for source, name in measures],
         kind.alias(rules.PRESENT_TYPE),
-        *[F.lit(None).cast("string").alias(name) for name in rules.PRESENT_PLACEHOLDERS],
-        *rules.FACT_KEYS,
+        *[F.lit(None).cast("string").alias(name) for name in placeholders],
+        *keys,
     )

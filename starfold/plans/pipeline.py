@@ -27,7 +27,7 @@ from starfold.operators import (
 )
 from starfold.plans.catalog import Gold
 from starfold.sources.delimited import read_csv
-from starfold.sources.tables import read_optional, write_table
+from starfold.sources.tables import is_complete, read_optional, read_table, write_table
 
 DIMENSIONS = ("dim_time", "dim_location", "dim_vehicle", "dim_factor")
 LAYOUT = {
@@ -48,7 +48,7 @@ class Lake:
     """Tables under ``root``. ``raw`` gives the untyped-to-typed input of the bronze layer.
 
     ``table`` builds what is asked for, and what that needs, the first time.
-    ``resume=True`` takes up tables already stored under ``root``.
+    ``resume=True`` takes up tables completely stored under ``root``.
     """
 
     spark: SparkSession
@@ -69,8 +69,11 @@ class Lake:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._built:
-            stored = read_optional(self.spark, self.path(name)) if self.resume else None
-            self._built[name] = write_table(self._frame(name), self.path(name)) if stored is None else stored
+            path = self.path(name)
+            if self.resume and is_complete(self.spark, path):
+                self._built[name] = read_table(self.spark, path)
+            else:
+                self._built[name] = write_table(self._frame(name), path)
         return self._built[name]
 
     def _frame(self, name: str) -> DataFrame:

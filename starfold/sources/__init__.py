@@ -4,6 +4,7 @@ from starfold.sources.delimited import read_csv, read_dictionary, write_csv
 from starfold.sources.tables import (
     fits,
     inspect,
+    is_complete,
     read_optional,
     read_table,
     register_views,
@@ -18,6 +19,7 @@ from starfold.sources.tables import (
 __all__ = [
     "fits",
     "inspect",
+    "is_complete",
     "read_csv",
     "read_dictionary",
     "read_optional",

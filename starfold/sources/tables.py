@@ -35,6 +35,12 @@ def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed; one cut short leaves no success marker."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def register_views(tables: Mapping[str, DataFrame | None]) -> list[str]:
     """Register the given tables as temporary views; absent ones (None) are left out."""
     names = []

@@ -5,6 +5,7 @@ import dataclasses
 import pytest
 
 from starfold import CATALOG, REPORTS, Lake, Limits, exit_code, open_gold, read_table, run_catalog, summarize, write_csv
+from starfold.__main__ import main
 from starfold.plans.pipeline import LAYOUT
 from verification.binding import raw_collisions
 
@@ -45,6 +46,31 @@ def test_resume_takes_up_stored_tables(spark, lake):
     assert again.table("fact_collisions").count() == lake.table("fact_collisions").count()
 
 
+def test_resume_rebuilds_a_table_cut_short(spark, tmp_path):
+    first = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF))
+    rows = first.table("bronze").count()
+    marker = tmp_path / LAYOUT["bronze"] / "_SUCCESS"
+    marker.unlink()
+    again = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF).limit(10), resume=True)
+    assert again.table("bronze").count() == 10 < rows and marker.exists()
+
+
+def test_command_line(spark, lake, tmp_path, capsys):
+    csv = f"{lake.root}/../raw"
+    assert main(["build", str(tmp_path), csv]) == 1  # K13 and K14
+    capsys.readouterr()
+    assert main(["checks", str(tmp_path)]) == 1
+    assert "K13" in capsys.readouterr().out
+    assert main(["queries", str(tmp_path), "q18_weekend", "q19_summary"]) == 0
+    out = capsys.readouterr().out
+    assert "is_weekend" in out and "Total Claims" in out
+    assert main(["reports", str(tmp_path), "r09_severity"]) == 0
+    assert main(["sql", str(tmp_path), "SELECT count(*) AS times FROM dim_time"]) == 0
+    assert "times" in capsys.readouterr().out
+    assert main(["inspect", str(tmp_path), "silver"]) == 0
+    assert "collision_id" in capsys.readouterr().out
+
+
 def test_checks_of_the_pipeline(lake):
     checks = lake.checks()
     failed = {r["check"][:3] for r in checks.filter("NOT passed").collect()}

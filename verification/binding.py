@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starfold.operators import lookup
 from starfold.rules import RAW_FIELDS
 
 VEHICLES = (
@@ -26,16 +27,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders")
-    customer = load(spark, sf_dir, "customer")
-    nation = load(spark, sf_dir, "nation")
-    region = load(spark, sf_dir, "region")
-    rows = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    placed = lookup(
+        orders, load(spark, sf_dir, "customer"), {"o_custkey": "c_custkey"}, {"c_custkey": "c", "c_nationkey": "nationkey"}
     )
-    k, c = F.col("o_orderkey"), F.col("c_custkey")
+    in_nation = lookup(
+        placed, load(spark, sf_dir, "nation"), {"nationkey": "n_nationkey"}, {"n_nationkey": "n", "n_regionkey": "regionkey"}
+    )
+    rows = lookup(
+        in_nation, load(spark, sf_dir, "region"), {"regionkey": "r_regionkey"}, {"r_regionkey": "r", "r_name": "r_name"}
+    ).filter(F.col("r").isNotNull())
+    k, c = F.col("o_orderkey"), F.col("c")
 
     def every(m: int, r: int = 0):
         return k % m == r
@@ -57,7 +59,7 @@ def raw_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "BOROUGH": F.when(every(11), "   ")
         .when(every(13), None)
         .otherwise(F.concat(F.lit("  "), "r_name", F.lit(" "))),
-        "ZIP CODE": F.when(every(17), "").otherwise((10000 + F.col("n_nationkey")).cast("string")),
+        "ZIP CODE": F.when(every(17), "").otherwise((10000 + F.col("n")).cast("string")),
         "LATITUDE": F.when(every(19), None)
         .when(every(23), F.lit(0.0))
         .otherwise((4030 + c % 80).cast("double") / F.lit(100.0)),
