@@ -51,6 +51,9 @@ def register_views(tables: Mapping[str, DataFrame | None]) -> list[str]:
     return names
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir``.
 
@@ -60,11 +63,12 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="starfold-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _local_dirs:  # the setting itself cannot be changed in a running session
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="starfold-")
+    return _local_dirs[context.applicationId]
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -79,5 +80,16 @@ def test_stage_uses_the_shared_folder(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_shared_folder_unset():
+    def fake(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    made = scratch_dir(fake("local[2]"))
+    assert scratch_dir(fake("local[2]")) == made
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(fake("yarn"))
+
+
 def test_bounded_collect(spark):
     assert len(to_pandas(spark.range(100), 7)) == 7
