@@ -15,7 +15,7 @@ import numpy as np
 #: Pieces and characters in a worker's store; beyond either a new one starts, and the one before is kept to copy from.
 KEPT_PIECES, KEPT_CHARS = 500_000, 12_000_000
 
-_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_ODD = re.compile("[" + "".join(map(chr, [11, 12, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 # white space goes with what follows; a run of Latin letters ends before a common mark
 _PIECE = re.compile("[ \n\r\t]*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[ \n\r\t,.;:!?]|\\Z)|[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
