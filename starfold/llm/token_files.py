@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from starfold.llm.common import own_columns, slices
 from starfold.llm.encoding import encoder
+from starfold.llm.files import beside, filesystem
 from starfold.sources import read_table, write_table
 
 #: Ids in a sequence, and sequences in a record batch.
@@ -41,13 +42,6 @@ FILE_BYTES = 32 << 20
 _MANIFEST = "shard int, path string, docs long, tokens long, head long, step long, batches long"
 
 
-def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
-    """The file system of a folder in the shared store, and the path within it."""
-    if "://" in path or path.startswith("file:"):
-        return pa.fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
-    return pa.fs.LocalFileSystem(), path
-
-
 def _lists(values: np.ndarray, length: int) -> pa.FixedSizeListArray:
     return pa.FixedSizeListArray.from_arrays(pa.array(values), length)
 
@@ -116,10 +110,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, k
             if writer is None:
                 fs, folder = filesystem(path)
                 fs.create_dir(folder, recursive=True)
-                name = f"{folder}/{uuid.uuid4().hex}"
-                sink = fs.open_output_stream(f"{name}.arrows")
+                name = uuid.uuid4().hex
+                sink = fs.open_output_stream(f"{folder}/{name}.arrows")
                 writer = _Writer(sink, kind, length, rows)
-                index_sink = fs.open_output_stream(f"{name}.index.arrows")
+                index_sink = fs.open_output_stream(f"{folder}/{name}.index.arrows")
                 index = pa.ipc.new_stream(index_sink, pa.schema([("key", pa.int64()), ("n_tokens", pa.int64())]))
                 docs_written = 0
             keys, sizes = batch.column("key"), []
@@ -133,8 +127,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, k
             index.close()
             sink.close()
             index_sink.close()
-            uri = f"file://{name}" if fs.type_name == "local" else path.rstrip("/") + "/" + name.rsplit("/", 1)[1]
-            row = [TaskContext.get().partitionId(), uri, docs_written, writer.tokens, writer.head, writer.step, writer.batches]
+            row = [TaskContext.get().partitionId(), beside(path, name), docs_written, writer.tokens, writer.head, writer.step, writer.batches]
             yield pa.RecordBatch.from_pylist([dict(zip([c.split()[0] for c in _MANIFEST.split(", ")], row, strict=True))], pa.schema(
                 [("shard", pa.int32()), ("path", pa.string()), *[(c, pa.int64()) for c in ("docs", "tokens", "head", "step", "batches")]]))
 
@@ -147,7 +140,7 @@ class TokenFile:
     def __init__(self, row: dict):
         fs, at = filesystem(row["path"] + ".arrows")
         self.row = row
-        self.source = pa.memory_map(at) if fs.type_name == "local" else fs.open_input_file(at)
+        self.source = pa.memory_map(at) if isinstance(fs, pa.fs.LocalFileSystem) else fs.open_input_file(at)
         self.schema = pa.ipc.open_stream(io.BytesIO(self.source.read(row["head"]))).schema
 
     def batch(self, k: int) -> pa.RecordBatch:
