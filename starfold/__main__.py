@@ -2,12 +2,13 @@
 
     python -m starfold build ROOT CSV [CSV ...] [--null-safe] [--seed S] [--resume]
     python -m starfold checks ROOT
-    python -m starfold queries ROOT [NAME ...]
-    python -m starfold reports ROOT [NAME ...]
-    python -m starfold sql ROOT "SELECT ... FROM fact_collisions ..."
+    python -m starfold queries ROOT [NAME ...] [--out DIR] [--rows N]
+    python -m starfold reports ROOT [NAME ...] [--out DIR] [--rows N]
+    python -m starfold sql ROOT "SELECT ... FROM fact_collisions ..." [--out DIR] [--rows N]
     python -m starfold inspect ROOT TABLE
 
-``build`` and ``checks`` end with 1 when a check failed, ``queries`` and ``reports`` when one could not be run.
+Results print N rows (20 unless given) and say how many there are; ``--out`` writes each whole result
+as Parquet to DIR/NAME. ``build`` and ``checks`` end with 1 when a check failed, ``queries`` and ``reports`` when one could not be run.
 """
 
 from __future__ import annotations
@@ -20,11 +21,16 @@ from pyspark.sql import DataFrame
 from starfold.operators import exit_code, run_checks, summarize
 from starfold.plans import CATALOG, LAYOUT, REPORTS, Lake, open_gold, run_catalog
 from starfold.session import session
-from starfold.sources import inspect, read_table
+from starfold.sources import inspect, read_table, write_table
 
 SHOWN = 20
 
 
+def _result_options(command: argparse.ArgumentParser) -> None:
+    command.add_argument("--out", help="folder for the whole results, as Parquet")
+    command.add_argument("--rows", type=int, default=SHOWN, help="rows to print of each result")
+
+
 def _arguments(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="starfold")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -38,10 +44,12 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
     for name in ("queries", "reports"):
         command = commands.add_parser(name)
         command.add_argument("root")
-        command.add_argument("names", nargs="*")
+        command.add_argument("names", nargs="*", metavar="NAME")
+        _result_options(command)
     sql = commands.add_parser("sql")
     sql.add_argument("root")
     sql.add_argument("text")
+    _result_options(sql)
     look = commands.add_parser("inspect")
     look.add_argument("root")
     look.add_argument("table", choices=list(LAYOUT))
@@ -57,13 +65,26 @@ def _report(checks: DataFrame) -> int:
     return exit_code(kept)
 
 
-def _show(name: str, df: DataFrame) -> None:
-    print(name)
-    df.show(SHOWN, truncate=False)
+def _shower(args: argparse.Namespace):
+    def show(name: str, df: DataFrame) -> None:
+        if args.out:
+            df = write_table(df, f"{args.out.rstrip('/')}/{name}")
+        else:
+            df = df.cache()
+        print(f"{name}: {df.count()} rows" + (f" in {args.out}" if args.out else "") + f", at most {args.rows} shown")
+        df.show(args.rows, truncate=False)
+        df.unpersist()
+
+    return show
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(sys.argv[1:] if argv is None else argv)
+    known = CATALOG if args.command == "queries" else REPORTS
+    unknown = [name for name in getattr(args, "names", []) if name not in known]
+    if unknown:
+        print(f"unknown: {', '.join(unknown)}; known: {', '.join(known)}", file=sys.stderr)
+        return 2
     spark = session()
     if args.command == "build":
         made = Lake.from_csv(
@@ -79,10 +100,9 @@ def main(argv: list[str] | None = None) -> int:
         return _report(run_checks({"silver": silver, **gold.tables()}))
     if args.command == "sql":
         gold.register()
-        _show("sql", spark.sql(args.text))
+        _shower(args)("sql", spark.sql(args.text))
         return 0
-    known = CATALOG if args.command == "queries" else REPORTS
-    failed = run_catalog(gold, _show, {name: known[name] for name in args.names or known})
+    failed = run_catalog(gold, _shower(args), {name: known[name] for name in args.names or known})
     for name, error in failed.items():
         print(f"{name} failed: {error}", file=sys.stderr)
     return 1 if failed else 0

@@ -24,7 +24,9 @@ def time_band(hour: Column, bands: Sequence[tuple[int, int, str]] = TIME_BANDS,
     return chain.otherwise(last)
 
 
-def calendar_columns(date: str, clock: str | None = None) -> dict[str, Column]:
+def calendar_columns(
+    date: str, clock: str | None = None, bands: Sequence[tuple[int, int, str]] = TIME_BANDS, last: str = LAST_BAND
+) -> dict[str, Column]:
     """Name -> column for the calendar attributes, in table order."""
     d = F.col(date)
     columns = {
@@ -39,7 +41,7 @@ def calendar_columns(date: str, clock: str | None = None) -> dict[str, Column]:
     if clock is not None:
         hour = hour_of(F.col(clock))
         columns["hour"] = hour
-        columns["time_category"] = time_band(hour)
+        columns["time_category"] = time_band(hour, bands, last)
     weekend = F.dayofweek(d).isin(*WEEKEND_DAYS)
     columns["is_weekend"] = F.coalesce(weekend, F.lit(False))
     return columns

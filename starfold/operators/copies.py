@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +22,14 @@ def number_copies(
     Equal to ``row_number() OVER (PARTITION BY identity ORDER BY order)`` up to
     rows equal in all of these columns. ``df`` is a stored table. A window puts
     each group in one task, so hot identities are numbered apart: sorted in
-    parallel over all tasks, then counted from the first row of each.
+    parallel over all tasks, then counted from the first row of each. Hot is an
+    identity with over twice the rows of a mean shuffle partition.
     """
     window = Window.partitionBy(identity).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     numbered = F.row_number().over(window).cast("bigint").alias(out)
-    hot = hot_hashes(df, {"id": [identity]}, limits, rows=stored_rows(df))["id"]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_task = replace(limits, hot_keys=max(limits.hot_keys, partitions // 2))
+    hot = hot_hashes(df, {"id": [identity]}, per_task, rows=stored_rows(df))["id"]
     if not hot:
         return df.select("*", numbered)
     is_hot = key_hash([F.col(identity)]).isin(*hot)

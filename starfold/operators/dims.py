@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from starfold.functions import calendar_columns, classify, joined_name
 from starfold.operators.keys import dense_key
 from starfold.operators.skew import LIMITS, Limits
-from starfold.rules import FACTOR_DEFAULT, FACTOR_RULES, UNKNOWN_LOCATION, VEHICLE_RULES
+from starfold.rules import FACTOR_DEFAULT, FACTOR_RULES, LAST_BAND, TIME_BANDS, UNKNOWN_LOCATION, VEHICLE_RULES
 from starfold.sources.tables import stored_rows
 
 
@@ -25,12 +25,15 @@ def build_time_dim(
     clock: str = "crash_time_str",
     key: str = "time_key",
     *,
+    bands: Sequence[tuple[int, int, str]] = TIME_BANDS,
+    last_band: str = LAST_BAND,
+    key_type: str = "int",
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """One row per (date, clock string), with calendar attributes."""
     moments = df.select(date, clock).distinct()
-    attributes = [c.alias(name) for name, c in calendar_columns(date, clock).items()]
-    keyed = dense_key(moments, [date, clock], key, at_most=stored_rows(df), limits=limits)
+    attributes = [c.alias(name) for name, c in calendar_columns(date, clock, bands, last_band).items()]
+    keyed = dense_key(moments, [date, clock], key, key_type, at_most=stored_rows(df), limits=limits)
     return keyed.select(key, date, clock, *attributes)
 
 
@@ -42,13 +45,14 @@ def build_location_dim(
     key: str = "location_key",
     unknown: str = UNKNOWN_LOCATION,
     *,
+    key_type: str = "int",
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """One row per (area columns, coordinates) with both coordinates known, and a display name."""
     natural = [*area, latitude, longitude]
     places = df.select(*natural).filter(F.col(latitude).isNotNull() & F.col(longitude).isNotNull()).distinct()
     named = joined_name(area, unknown).alias("location_name")
-    keyed = dense_key(places, natural, key, at_most=stored_rows(df), limits=limits)
+    keyed = dense_key(places, natural, key, key_type, at_most=stored_rows(df), limits=limits)
     return keyed.select(key, *natural, named)
 
 
@@ -61,35 +65,51 @@ def build_code_dim(
     rules: Sequence[tuple[str, str]],
     default: Column | str | None = None,
     *,
+    key_type: str = "int",
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """One row per code found in any of the role columns, with its class. The roles are read in one pass."""
     codes = df.select(F.explode(F.array(*roles)).alias(code)).filter(F.col(code).isNotNull()).distinct()
     classed = classify(F.col(code), rules, default).alias(label)
-    keyed = dense_key(codes, [code], key, at_most=len(roles) * stored_rows(df), limits=limits)
+    keyed = dense_key(codes, [code], key, key_type, at_most=len(roles) * stored_rows(df), limits=limits)
     return keyed.select(key, code, classed)
 
 
-def build_vehicle_dim(df: DataFrame, *, limits: Limits = LIMITS) -> DataFrame:
+def build_vehicle_dim(
+    df: DataFrame,
+    rules: Sequence[tuple[str, str]] = VEHICLE_RULES,
+    *,
+    key_type: str = "int",
+    limits: Limits = LIMITS,
+) -> DataFrame:
     return build_code_dim(
         df,
         ("vehicle_type_code_1", "vehicle_type_code_2"),
         "vehicle_type_code",
         "vehicle_type_name",
         "vehicle_key",
-        VEHICLE_RULES,
+        rules,
+        key_type=key_type,
         limits=limits,
     )
 
 
-def build_factor_dim(df: DataFrame, *, limits: Limits = LIMITS) -> DataFrame:
+def build_factor_dim(
+    df: DataFrame,
+    rules: Sequence[tuple[str, str]] = FACTOR_RULES,
+    default: str = FACTOR_DEFAULT,
+    *,
+    key_type: str = "int",
+    limits: Limits = LIMITS,
+) -> DataFrame:
     return build_code_dim(
         df,
         ("contributing_factor_vehicle_1", "contributing_factor_vehicle_2"),
         "contributing_factor",
         "factor_category",
         "factor_key",
-        FACTOR_RULES,
-        FACTOR_DEFAULT,
+        rules,
+        default,
+        key_type=key_type,
         limits=limits,
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starfold.functions import severity
 from starfold.operators.lookup import lookup
-from starfold.operators.skew import LIMITS, Limits, hot_hashes
+from starfold.operators.skew import LIMITS, Limits, cast_keys, hot_hashes
 from starfold.rules import COUNTS, FACT_KEYS
 from starfold.sources.tables import fits, stored_rows
 
@@ -49,7 +49,7 @@ def build_fact(
     dimensions too.
     """
     large = {name: not fits(dim, limits.broadcast_rows) for name, dim in dims.items()}
-    wanted = {fact_key: list(on) for dim, fact_key, on in lookups if large[dim]}
+    wanted = {fact_key: cast_keys(dims[dim], on) for dim, fact_key, on in lookups if large[dim]}
     hot = hot_hashes(silver, wanted, limits, rows=stored_rows(silver) if wanted else None)
 
     rows = silver

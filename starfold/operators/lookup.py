@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.operators.skew import LIMITS, Limits, hot_hashes, key_hash
+from starfold.operators.skew import LIMITS, Limits, cast_keys, hot_hashes, key_hash, small_enough
 from starfold.sources.tables import stored_rows
 
 
@@ -30,7 +30,8 @@ def lookup(
     gives the hot key hashes when known (``hot_hashes``); otherwise ``left`` is
     profiled. ``right`` is a stored table, or ``right_rows`` bounds its rows.
 
-    - A right side of at most ``limits.broadcast_rows`` rows is broadcast.
+    - A right side of at most ``limits.broadcast_rows`` rows, and not of more than
+      ``limits.broadcast_bytes`` where the table is stored, is broadcast.
     - A larger one is joined by shuffle, after the hot keys: their right rows,
       no more than the hot keys in number, are broadcast. Rows already answered
       that way, and rows whose NULL key cannot match, get their own input
@@ -49,14 +50,14 @@ def lookup(
         tests = [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs]
         return reduce(lambda x, y: x & y, tests)
 
-    if (stored_rows(right) if right_rows is None else right_rows) <= limits.broadcast_rows:
+    few_rows = (stored_rows(right) if right_rows is None else right_rows) <= limits.broadcast_rows
+    if few_rows and (right_rows is not None or small_enough(narrow, limits)):
         joined = left.join(F.broadcast(narrow), same(list(zip(lkeys, names))), "left")
         return joined.select(*left.columns, *[F.col(v).alias(n) for v, n in zip(values, take.values())])
 
     if hot is None:
-        hot = hot_hashes(left, {"keys": lkeys}, limits)["keys"]
-    types = dict(right.dtypes)
-    left_hash = key_hash([F.col(k).cast(types[r]) for k, r in on.items()])
+        hot = hot_hashes(left, {"keys": cast_keys(right, on)}, limits)["keys"]
+    left_hash = key_hash(cast_keys(right, on))
     right_hash = key_hash([F.col(n) for n in names])
 
     apart = F.lit(False)

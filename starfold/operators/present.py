@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starfold import rules
 from starfold.functions import severity
 from starfold.operators.lookup import lookup
-from starfold.operators.skew import LIMITS, Limits, hot_hashes
+from starfold.operators.skew import LIMITS, Limits, cast_keys, hot_hashes
 from starfold.sources.tables import fits, stored_rows
 
 # dimension, its key, fact key, renamed columns: a dimension used in two roles appears twice
@@ -39,7 +39,11 @@ def present(
     By default 40 renamed columns and 6 keys. ``ids`` and ``measures`` are fact
     columns; ``placeholders`` are NULL text columns.
     """
-    wanted = {key: [key] for dim, _, key, _ in roles if not fits(dims[dim], limits.broadcast_rows)}
+    wanted = {
+        key: cast_keys(dims[dim], {key: dim_key})
+        for dim, dim_key, key, _ in roles
+        if not fits(dims[dim], limits.broadcast_rows)
+    }
     hot = hot_hashes(fact, wanted, limits, rows=stored_rows(fact) if wanted else None)
     rows = fact
     for dim, dim_key, fact_key, columns in roles:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +31,8 @@ def _as_rows(totals: DataFrame, results: Sequence[str]) -> DataFrame:
     return totals.selectExpr(f"inline(array({', '.join(results)}))")
 
 
-def check_rules(df: DataFrame, rules: Mapping[str, Column | str]) -> DataFrame:
-    """Row predicates (columns or SQL text), all of them in one scan.
-
-    A row fails where the predicate is FALSE; NULL counts as a pass and is
-    reported in ``null_count``. A predicate that cannot be analysed, because of
-    a missing column for one, gives a failed check with the error's name.
-    """
+def rules_in_one_scan(df: DataFrame, rules: Mapping[str, Column | str]) -> DataFrame:
+    """The rows of ``check_rules`` as one aggregation, not yet run."""
     counts = [F.expr("count(1) AS total")]
     results = []
     for i, (name, rule) in enumerate(rules.items()):
@@ -52,6 +47,39 @@ def check_rules(df: DataFrame, rules: Mapping[str, Column | str]) -> DataFrame:
     return _as_rows(df.agg(*counts), results)
 
 
+def check_rules(df: DataFrame, rules: Mapping[str, Column | str]) -> DataFrame:
+    """Row predicates (columns or SQL text), all of them in one scan.
+
+    A row fails where the predicate is FALSE; NULL counts as a pass and is
+    reported in ``null_count``. A predicate that cannot be analysed, because of
+    a missing column for one, gives a failed check with the error's name. So does
+    one that fails on some row (a division by zero, a bad cast): then, and only
+    then, the rules are run one by one to tell which.
+    """
+    return _with_culprits(df, rules, rules_in_one_scan(df, rules))
+
+
+def _query_error(error: PySparkException) -> str | None:
+    """Name of an error in the data or the rule; None for any other, such as a lost executor."""
+    state = error.getSqlState() or ""
+    return error.getCondition() if state.startswith(("22", "42")) else None
+
+
+def _with_culprits(df: DataFrame, rules: Mapping[str, Column | str], checked: DataFrame) -> DataFrame:
+    """The rows of ``checked``, computed; on a query error, those of each rule by itself."""
+    session = df.sparkSession
+    try:
+        return session.createDataFrame(checked.collect(), checked.schema)  # a row per rule
+    except PySparkException as error:
+        name = _query_error(error)
+        if name is None:
+            raise
+    if len(rules) > 1:
+        return union_all([check_rules(df, {rule: predicate}) for rule, predicate in rules.items()])
+    only = _row(next(iter(rules)), "NULL", "total", "NULL", name)
+    return _as_rows(df.agg(F.expr("count(1) AS total")), [only])
+
+
 def check_key(df: DataFrame, key: str, unique: str | None = None, not_null: str | None = None) -> DataFrame:
     """Key checks named ``unique`` (key values that occur more than once) and ``not_null``, in one aggregation."""
     per_key = df.groupBy(F.col(key).alias("k")).agg(F.expr("count(1) AS n"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from starfold.operators.claims import money
 from starfold.operators.lookup import lookup
-from starfold.operators.skew import LIMITS, Limits, hot_hashes
+from starfold.operators.skew import LIMITS, Limits, hot_hashes, small_enough
 from starfold.sources.tables import fits, stored_rows
 
 
@@ -75,7 +75,7 @@ def star_rollup(
     rows = dim if where is None else dim.filter(where)
     own = [c for c in by if c not in dim.columns]
     narrow = rows.select(F.col(dim_key).alias("__key"), *[c for c in by if c not in own])
-    if fits(dim, limits.broadcast_rows):
+    if fits(dim, limits.broadcast_rows) and small_enough(narrow, limits):
         return rollup(fact.join(F.broadcast(narrow), F.col(fact_key) == F.col("__key")), by, measures)
     per_key = (
         fact.filter(F.col(fact_key).isNotNull())

@@ -32,6 +32,8 @@ def hash_sample(
 ) -> DataFrame:
     """A repeatable sample of ``k`` rows (all of them when fewer): those with the smallest hash draw.
 
+    Rows without an identity share the draw of an empty one.
+
     Draws are uniform, so the rows below a cut of a few times k/n hold the k
     smallest almost surely. The cut is a filter on the identity alone, which
     moves below any join in ``df``. It is checked by a count and widened, in the
@@ -39,7 +41,7 @@ def hash_sample(
     sort. ``rows`` is a guess at the size of ``df``, to save counting it.
     """
     n = df.count() if rows is None else rows
-    drawn = df.select("*", draw_int(F.col(identity), "sample", seed).alias("__draw"))
+    drawn = df.select("*", draw_int(F.coalesce(F.col(identity), F.lit("")), "sample", seed).alias("__draw"))
     chosen, held = drawn, n
     for spare in (2, 16):
         if n <= 2 * spare * k:
@@ -56,10 +58,11 @@ def hash_sample(
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Counts of ``value`` in ``bins`` equal intervals from its minimum to its maximum, empty ones included.
 
-    The last interval holds the maximum. Two aggregations; only ``bins`` rows
-    are shuffled per task.
+    The last interval holds the maximum. NULL, NaN and infinite values are in no
+    interval. Two aggregations; only ``bins`` rows are shuffled per task.
     """
-    known = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    finite = ~F.isnan("v") & (F.abs("v") != float("inf"))
+    known = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & finite)
     ends = known.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     if ends["lo"] is None:
         return known.sparkSession.createDataFrame([], "bin int, low double, high double, rows bigint")

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starfold.sources.tables import stage
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -18,38 +20,79 @@ class Limits:
     hot_keys: a key is hot when it holds more than 1/hot_keys of all rows, so
         there can be no more than ``hot_keys`` hot keys.
     hot_rows: and at least this many rows, so small inputs have no hot keys.
+    broadcast_bytes: nor is one of more bytes, as far as the plan can tell.
     """
 
     broadcast_rows: int = 500_000
     one_task_rows: int = 1_000_000
     hot_keys: int = 2048
     hot_rows: int = 1_000_000
+    broadcast_bytes: int = 256 << 20
 
 
 LIMITS = Limits()
 
 
+#: Groups of input partitions whose sketches are merged apart, and items tracked for each hot key allowed.
+MERGE_GROUPS, TRACKED = 256, 4
+
+
 def key_hash(columns: Sequence[Column]) -> Column:
     return F.xxhash64(*columns)
 
 
+def cast_keys(right: DataFrame, on: Mapping[str, str]) -> list[Column]:
+    """The left key columns of a join in the types of the right ones, so that equal keys have equal hashes."""
+    types = dict(right.dtypes)
+    return [F.col(left).cast(types[name]) for left, name in on.items()]
+
+
+def small_enough(df: DataFrame, limits: Limits = LIMITS) -> bool:
+    """Whether a selection of a stored table may be broadcast, by the plan's size of its columns.
+
+    Stored columns are compressed; a row in memory is taken as four times its share of the files.
+    """
+    return 4 * int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limits.broadcast_bytes
+
+
 def hot_hashes(
-    df: DataFrame, keys: Mapping[str, Sequence[str]], limits: Limits = LIMITS, *, rows: int | None = None
+    df: DataFrame,
+    keys: Mapping[str, Sequence[str | Column]],
+    limits: Limits = LIMITS,
+    *,
+    rows: int | None = None,
+    groups: int = MERGE_GROUPS,
 ) -> dict[str, list[int]]:
-    """Hashes of the hot keys of each named key set, from one scan without a shuffle of rows.
+    """Hashes of the hot keys of each named key set.
 
-    A frequent-items sketch (``approx_top_k``) per task finds every key over the
-    threshold; what comes to the driver is at most ``hot_keys`` integers per
-    key set. A key listed by mistake only takes the other, equally exact, route.
-    ``rows``, when known, saves the scan of a table too small to have hot keys.
+    First a frequent-items sketch (``approx_top_k``) per task; sketches are merged by groups of
+    input partitions, so no task receives one from every other. A key over the
+    threshold in the whole is over it in one group at least, so the groups'
+    lists together hold every hot key. A second scan, made only when they hold any,
+    counts these candidates exactly. At most ``hot_keys`` integers per key set come
+    to the driver. ``rows``, when known, saves the scan of a table too small to have hot keys.
     """
     if not keys or (rows is not None and rows < limits.hot_rows):
         return {name: [] for name in keys}
-    hashed = df.select(*[key_hash([F.col(c) for c in columns]).alias(name) for name, columns in keys.items()])
-    tracked = limits.hot_keys * 32
-    row = hashed.agg(
+    columns = {name: [F.col(c) if isinstance(c, str) else c for c in own] for name, own in keys.items()}
+    hashed = df.select(*[key_hash(own).alias(name) for name, own in columns.items()])
+    lane = F.pmod(F.spark_partition_id(), F.lit(groups))
+    lists = hashed.groupBy(lane.alias("__lane")).agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.expr(f"approx_top_k(`{name}`, {limits.hot_keys}, {tracked})").alias(name) for name in keys],
-    ).first()
-    least = max(limits.hot_rows, row["__rows"] / limits.hot_keys)
-    return {name: [e["item"] for e in row[name] or [] if e["count"] >= least] for name in keys}
+        *[F.expr(f"approx_top_k(`{name}`, {limits.hot_keys}, {limits.hot_keys * TRACKED})").alias(name) for name in keys],
+    )
+    lists = stage(lists, "hot-keys")  # a row per group
+    total = lists.agg(F.sum("__rows")).first()[0] or 0
+    least = max(limits.hot_rows, total / limits.hot_keys)
+    if total < limits.hot_rows:
+        return {name: [] for name in keys}
+    found = {}
+    for name in keys:
+        listed = lists.select("__rows", F.explode(name).alias("e")).filter(F.col("e.count") >= F.col("__rows") / limits.hot_keys)
+        items = listed.select(F.col("e.item").alias("__item")).distinct()
+        found[name] = []
+        if not items.isEmpty():
+            met = hashed.select(F.col(name).alias("__item")).join(F.broadcast(items), "__item")
+            counted = met.groupBy("__item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+            found[name] = [r["__item"] for r in counted.collect()]
+    return found

@@ -7,13 +7,18 @@ lost executor costs tasks, never layers, and no layer is computed twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+import hashlib
+import json
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starfold import rules as defaults
 from starfold.operators import (
     LIMITS,
+    CleanSpec,
     Limits,
     build_fact,
     build_factor_dim,
@@ -27,7 +32,7 @@ from starfold.operators import (
 )
 from starfold.plans.catalog import Gold
 from starfold.sources.delimited import read_csv
-from starfold.sources.tables import is_complete, read_optional, read_table, write_table
+from starfold.sources.tables import is_complete, read_note, read_optional, read_table, write_note, write_table
 
 DIMENSIONS = ("dim_time", "dim_location", "dim_vehicle", "dim_factor")
 LAYOUT = {
@@ -43,12 +48,40 @@ LAYOUT = {
 }
 
 
+#: The tables that each table reads.
+INPUTS = {
+    "bronze": (),
+    "silver": ("bronze",),
+    **{name: ("silver",) for name in DIMENSIONS},
+    "fact_collisions": ("silver", *DIMENSIONS),
+    "fact_claims": ("fact_collisions",),
+    "presentation": ("fact_collisions", *DIMENSIONS),
+}
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What the layers are built by. The defaults describe the collision tables."""
+
+    clean: CleanSpec = CleanSpec()
+    claims: defaults.ClaimRules = defaults.ClaimRules()
+    bands: Sequence[tuple[int, int, str]] = defaults.TIME_BANDS
+    last_band: str = defaults.LAST_BAND
+    vehicles: Sequence[tuple[str, str]] = defaults.VEHICLE_RULES
+    factors: Sequence[tuple[str, str]] = defaults.FACTOR_RULES
+    factor_default: str = defaults.FACTOR_DEFAULT
+    key_type: str = "int"
+
+
 @dataclass
 class Lake:
     """Tables under ``root``. ``raw`` gives the untyped-to-typed input of the bronze layer.
 
     ``table`` builds what is asked for, and what that needs, the first time.
-    ``resume=True`` takes up tables completely stored under ``root``.
+    Each table gets a build id, and a note of it, of the settings it was built by and of the
+    build ids of what it was built from. ``resume=True`` takes up a completely stored
+    table only when its note agrees with all of these, so what stands below a
+    rebuilt table is rebuilt too. ``source`` names the raw input; bronze is taken up when it is the same.
     """
 
     spark: SparkSession
@@ -58,41 +91,74 @@ class Lake:
     seed: str = ""
     limits: Limits = LIMITS
     resume: bool = False
+    rules: Rules = Rules()
+    source: str = ""
     _built: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _ids: dict[str, str] = field(default_factory=dict, repr=False)
 
     @classmethod
     def from_csv(cls, spark: SparkSession, root: str, path: str | list[str], **options) -> Lake:
-        return cls(spark, root, lambda: read_csv(spark, path), **options)
+        return cls(spark, root, lambda: read_csv(spark, path), source=json.dumps(path), **options)
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{LAYOUT[name]}"
 
     def table(self, name: str) -> DataFrame:
         if name not in self._built:
-            path = self.path(name)
-            if self.resume and is_complete(self.spark, path):
-                self._built[name] = read_table(self.spark, path)
+            path, inputs = self.path(name), {}
+            for needed in INPUTS[name]:
+                self.table(needed)
+                inputs[needed] = self._ids[needed]
+            wanted = {"settings": self._settings(name), "inputs": inputs}
+            note = read_note(self.spark, self._note(name)) if self.resume else None
+            if note and is_complete(self.spark, path) and {k: note.get(k) for k in wanted} == wanted:
+                self._built[name], self._ids[name] = read_table(self.spark, path), note["id"]
             else:
+                self._ids[name] = uuid.uuid4().hex
+                write_note(self.spark, self._note(name), {})  # until the table is whole, nothing vouches for it
                 self._built[name] = write_table(self._frame(name), path)
+                write_note(self.spark, self._note(name), {"id": self._ids[name], **wanted})
         return self._built[name]
 
+    def _note(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/_builds/{name}.json"
+
+    def _settings(self, name: str) -> str:
+        """Digest of the settings that decide the content of a table."""
+        r = self.rules
+        keys = {"bands": r.bands, "last": r.last_band, "vehicles": r.vehicles, "factors": r.factors, "default": r.factor_default}
+        own = {
+            "bronze": self.source,
+            "silver": asdict(r.clean),
+            "dim_time": [keys["bands"], keys["last"], r.key_type],
+            "dim_location": r.key_type,
+            "dim_vehicle": [keys["vehicles"], r.key_type],
+            "dim_factor": [keys["factors"], keys["default"], r.key_type],
+            "fact_collisions": self.null_safe,
+            "fact_claims": [self.seed, asdict(r.claims)],
+            "presentation": "",
+        }[name]
+        return hashlib.sha256(json.dumps(own, sort_keys=True, default=str).encode()).hexdigest()
+
     def _frame(self, name: str) -> DataFrame:
         if name == "bronze":
             return self.raw()
         if name == "silver":
-            return clean(self.table("bronze"))
+            return clean(self.table("bronze"), self.rules.clean)
         if name in DIMENSIONS:
-            build = {
-                "dim_time": build_time_dim,
-                "dim_location": build_location_dim,
-                "dim_vehicle": build_vehicle_dim,
-                "dim_factor": build_factor_dim,
-            }[name]
-            return build(self.table("silver"), limits=self.limits)
+            silver, r = self.table("silver"), self.rules
+            common = {"key_type": r.key_type, "limits": self.limits}
+            if name == "dim_time":
+                return build_time_dim(silver, bands=r.bands, last_band=r.last_band, **common)
+            if name == "dim_location":
+                return build_location_dim(silver, **common)
+            if name == "dim_vehicle":
+                return build_vehicle_dim(silver, r.vehicles, **common)
+            return build_factor_dim(silver, r.factors, r.factor_default, **common)
         if name == "fact_collisions":
             return build_fact(self.table("silver"), self.dims(), null_safe=self.null_safe, limits=self.limits)
         if name == "fact_claims":
-            return generate_claims(self.table("fact_collisions"), self.seed, limits=self.limits)
+            return generate_claims(self.table("fact_collisions"), self.seed, self.rules.claims, limits=self.limits)
         return present(self.table("fact_collisions"), self.dims(), limits=self.limits)
 
     def dims(self) -> dict[str, DataFrame]:
@@ -119,7 +185,11 @@ class Lake:
 
 
 def open_gold(spark: SparkSession, root: str, limits: Limits = LIMITS) -> Gold:
-    """The star schema stored under ``root``; ``fact_claims`` may be absent."""
+    """The star schema stored under ``root``.
+
+    ``fact_claims`` may be absent. Claims made from another build of the fact, by the notes
+    beside the tables, count as absent.
+    """
 
     def at(name: str) -> str:
         return f"{root.rstrip('/')}/{LAYOUT[name]}"
@@ -127,6 +197,12 @@ def open_gold(spark: SparkSession, root: str, limits: Limits = LIMITS) -> Gold:
     return Gold(
         spark.read.parquet(at("fact_collisions")),
         *[spark.read.parquet(at(name)) for name in DIMENSIONS],
-        read_optional(spark, at("fact_claims")),
+        None if _stale_claims(spark, root) else read_optional(spark, at("fact_claims")),
         limits,
     )
+
+
+def _stale_claims(spark: SparkSession, root: str) -> bool:
+    """Whether notes tell that the stored claims belong to another fact. Tables without notes are taken as they are."""
+    fact, claims = (read_note(spark, f"{root.rstrip('/')}/_builds/{name}.json") for name in ("fact_collisions", "fact_claims"))
+    return bool(fact) and claims is not None and claims.get("inputs", {}).get("fact_collisions") != fact.get("id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
@@ -41,6 +42,29 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def write_note(spark: SparkSession, path: str, content: dict) -> None:
+    """Overwrite a small JSON file in the store of the tables."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(json.dumps(content).encode()))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> dict | None:
+    """What ``write_note`` stored, or None when there is no such file."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(at):
+        return None
+    source = store.open(at)
+    try:
+        return json.loads(bytes(source.readAllBytes()).decode())
+    finally:
+        source.close()
+
+
 def register_views(tables: Mapping[str, DataFrame | None]) -> list[str]:
     """Register the given tables as temporary views; absent ones (None) are left out."""
     names = []

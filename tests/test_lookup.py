@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfold import Limits, hot_hashes, lookup
+from starfold.operators import skew
 from starfold.sources import stage
 
 LARGE = Limits(broadcast_rows=0, hot_keys=64, hot_rows=100)
@@ -56,6 +57,48 @@ def test_hot_keys_found(left):
     assert hot_hashes(left, {"k": ["a", "b"]}, Limits())["k"] == []  # too few rows to matter
 
 
+def test_hot_keys_are_found_across_key_types(spark):
+    """A hot int key is spread when the dimension's key is bigint: both sides hash the same type."""
+    left = stage(spark.range(6000).repartition(16).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).cast("int").alias("a")))
+    right = stage(spark.range(6000).select(F.col("id").alias("ra"), (F.col("id") * 2).alias("v")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = lookup(left, right, {"a": "ra"}, {"v": "value"}, limits=LARGE)
+        assert got.filter("value = 2 * a").count() == 6000
+        assert got.filter("a = 7").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 1600  # of 3000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sketches_are_merged_in_groups(spark):
+    """No exchange of the scan brings the sketches of all input tasks to one task."""
+    df = stage(spark.range(0, 40_000, 1, 200).select(F.when(F.col("id") % 5 == 0, 3).otherwise(F.col("id")).alias("a")))
+    plans = []
+    original = skew.stage
+    skew.stage = lambda frame, label: plans.append(frame._jdf.queryExecution().executedPlan().toString()) or original(frame, label)
+    try:
+        hot = hot_hashes(df, {"k": ["a"]}, Limits(hot_keys=16, hot_rows=100), groups=8)["k"]
+    finally:
+        skew.stage = original
+    assert [r[0] for r in df.filter(F.xxhash64("a").isin(*hot)).distinct().collect()] == [3]
+    assert len(plans) == 1 and "SinglePartition" not in plans[0] and "hashpartitioning(" in plans[0]
+
+
+def test_a_wide_small_side_is_not_broadcast(spark, left, right):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def plan(limits):
+            return lookup(left, right, {"a": "ra", "b": "rb"}, {"v": "value"}, hot=[], limits=limits)
+
+        narrow = plan(Limits(broadcast_bytes=100))
+        assert "BroadcastHashJoin" not in narrow._jdf.queryExecution().executedPlan().toString()
+        assert narrow.exceptAll(plan(Limits())).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_and_null_keys_are_spread(spark, left, right):
     """Neither the third with one key nor the third with NULLs ends in one task of the shuffle join."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

@@ -6,7 +6,9 @@ import pytest
 
 from starfold import CATALOG, REPORTS, Lake, Limits, exit_code, open_gold, read_table, run_catalog, summarize, write_csv
 from starfold.__main__ import main
-from starfold.plans.pipeline import LAYOUT
+from starfold.operators import CleanSpec
+from starfold.plans.pipeline import DIMENSIONS, LAYOUT, Rules
+from starfold.rules import Bounds, ClaimRules
 from verification.binding import raw_collisions
 
 SF = "/root/testdata/sf0.001"
@@ -42,7 +44,9 @@ def test_resume_takes_up_stored_tables(spark, lake):
     def fail():
         raise AssertionError("the raw input must not be read")
 
-    again = Lake(spark, lake.root, fail, resume=True)
+    again = Lake(spark, lake.root, fail, resume=True, source=lake.source)
+    again.run()
+    assert again._ids == lake._ids  # nothing was built anew
     assert again.table("fact_collisions").count() == lake.table("fact_collisions").count()
 
 
@@ -55,6 +59,59 @@ def test_resume_rebuilds_a_table_cut_short(spark, tmp_path):
     assert again.table("bronze").count() == 10 < rows and marker.exists()
 
 
+def test_resume_knows_what_a_table_was_built_from(spark, tmp_path):
+    def at(**options):
+        made = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF), resume=True, **options)
+        made.run()
+        return made
+
+    def kept(a, b):
+        return {name for name in LAYOUT if a._ids[name] == b._ids[name]}
+
+    first = at()
+    assert kept(first, at()) == set(LAYOUT)
+    seeded = at(seed="other")
+    assert kept(first, seeded) == set(LAYOUT) - {"fact_claims"}
+    safe = at(seed="other", null_safe=True)
+    assert kept(seeded, safe) == {"bronze", "silver", *DIMENSIONS}
+    (tmp_path / LAYOUT["bronze"] / "_SUCCESS").unlink()
+    few = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF).limit(100), resume=True, seed="third", null_safe=True)
+    few.run()
+    assert kept(safe, few) == set()
+    assert few.table("silver").count() == few.table("fact_collisions").count() <= 100
+    assert open_gold(spark, str(tmp_path)).fact_claims is not None
+    Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF)).table("fact_collisions")  # without claims
+    assert open_gold(spark, str(tmp_path)).fact_claims is None
+
+
+def test_rules_reach_the_layers(spark, tmp_path):
+    rules = Rules(
+        clean=CleanSpec(bounds=Bounds(40.6, 40.8, -74.1, -73.9), casualties=()),
+        claims=ClaimRules(p_injured=0.0, p_affected=0.0, p_other=0.0),
+        bands=((0, 11, "before noon"),), last_band="after", vehicles=(("(?i)sedan", "Car"),), factors=(), factor_default="Any", key_type="bigint",
+    )
+    made = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF), rules=rules)
+    made.run()
+    assert made.table("silver").filter("latitude < 40.6 or latitude > 40.8").isEmpty() and made.table("silver").count() > 0
+    assert {r[0] for r in made.table("dim_time").select("time_category").distinct().collect()} == {"before noon", "after"}
+    assert "Car" in {r[0] for r in made.table("dim_vehicle").select("vehicle_type_name").distinct().collect()}
+    assert {r[0] for r in made.table("dim_factor").select("factor_category").distinct().collect()} == {"Any"}
+    assert dict(made.table("dim_time").dtypes)["time_key"] == "bigint"
+    assert made.table("fact_claims").filter("persons_killed = 0").isEmpty()
+
+
+def test_whole_results_from_the_command_line(spark, lake, tmp_path, capsys):
+    out = str(tmp_path / "out")
+    assert main(["queries", lake.root, "q05_monthly_trend", "--out", out]) == 0
+    assert main(["reports", lake.root, "r08_days_histogram", "--out", out, "--rows", "2"]) == 0
+    assert main(["sql", lake.root, "SELECT * FROM fact_collisions", "--out", out, "--rows", "0"]) == 0
+    counts = {name: spark.read.parquet(f"{out}/{name}").count() for name in ("q05_monthly_trend", "r08_days_histogram", "sql")}
+    assert counts == {"q05_monthly_trend": 80, "r08_days_histogram": 30, "sql": lake.table("fact_collisions").count()}
+    assert "r08_days_histogram: 30 rows" in capsys.readouterr().out
+    assert main(["queries", lake.root, "q99"]) == 2
+    assert "unknown: q99" in capsys.readouterr().err
+
+
 def test_command_line(spark, lake, tmp_path, capsys):
     csv = f"{lake.root}/../raw"
     assert main(["build", str(tmp_path), csv]) == 1  # K13 and K14

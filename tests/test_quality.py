@@ -116,8 +116,16 @@ def test_exit_code_of_a_failure(spark):
 
 def test_rules_of_a_table_share_one_scan(spark, tmp_path):
     from starfold import write_table
-    from starfold.operators.quality import fact_rules
+    from starfold.operators.quality import fact_rules, rules_in_one_scan
 
     fact = write_table(tables(spark)["fact_collisions"], str(tmp_path / "fact"))
-    plan = check_rules(fact, fact_rules())._jdf.queryExecution().executedPlan().toString()
+    plan = rules_in_one_scan(fact, fact_rules())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_a_rule_that_fails_on_a_row_is_one_failed_check(spark):
+    df = spark.createDataFrame([(0,), (1,)], "x int")
+    got = {r["check"]: r for r in check_rules(df, {"ok": "x is not null", "bad": "1 / x > 0", "cast": "cast('a' || x as int) > 0"}).collect()}
+    assert got["ok"]["passed"] and got["ok"]["total"] == 2 and got["ok"]["error"] is None
+    assert (got["bad"]["passed"], got["bad"]["total"], got["bad"]["error"]) == (False, 2, "DIVIDE_BY_ZERO")
+    assert got["cast"]["error"] == "CAST_INVALID_INPUT"

@@ -122,6 +122,20 @@ def test_hash_sample_equals_a_full_sort(spark, rows, k):
     assert rows(hash_sample(df, "who", k, ("id",), rows=100_000_000)) == rows(expected)  # a bad guess costs passes only
 
 
+@pytest.mark.parametrize("n", [30, 4000, 100_000])
+def test_hash_sample_with_null_identities(spark, rows, n):
+    df = stage(spark.range(n).select(F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("who"), "id"))
+    draw = F.expr("cast(conv(substring(sha2(concat(coalesce(who, ''), ':sample'), 256), 1, 8), 16, 10) as bigint)")
+    expected = rows(df.orderBy(draw, "who", "id").limit(10))
+    for guess in (None, 10, 10_000_000):
+        assert rows(hash_sample(df, "who", 10, ("id",), rows=guess)) == expected
+
+
+def test_histogram_of_finite_values(spark):
+    df = spark.createDataFrame([(v,) for v in [0.0, 1.0, 2.0, float("nan"), float("inf"), float("-inf"), None]], "v double")
+    assert [(r["bin"], r["low"], r["high"], r["rows"]) for r in histogram(df, "v", 2).orderBy("bin").collect()] == [(1, 0.0, 1.0, 1), (2, 1.0, 2.0, 2)]
+
+
 def test_histogram(spark, rows):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 1, 5, 9.99, 10]] + [(None,)], "v double")
     got = {r["bin"]: r["rows"] for r in histogram(df, "v", 10).collect()}
