@@ -1,20 +1,22 @@
 """Exact near-duplicate join on sets of word n-grams, as classes of linked documents.
 
-1. One pass describes each document: size and fingerprint of its set, and the
-   grams that are frequent within a block. The most frequent grams of the corpus
-   come last in the order of every set; the order decides speed, never links.
-2. A second pass lists each set under the grams of its prefix. Two sets that link
-   share a gram of their prefixes and have close sizes. Within a list sorted by
-   size, neighbours of compatible size are chained; blocks of a list are chained
-   where they are made, and only their ends travel. The chains' connected
-   components hold every link.
-3. A component (many small ones together, a large one as pairs of chunks) is
+1. One pass describes each document: size and fingerprint of its set. Sets with
+   equal grams are one class from here on, so copies cost nothing.
+2. A second pass sends grams to buckets, where those of two or more classes are
+   told: a gram that a block of documents has twice is known to be shared at once and
+   is sent once for the whole block, so frequent grams cost a row per block. Grams of one class come
+   first in the order of every set. Only a class whose shared grams alone could
+   reach the similarity goes on, with these grams and its size; they are all
+   that an overlap can consist of.
+3. These sets are listed under the shared grams of their prefixes. Two sets that link
+   share one and have close sizes. Within a list sorted by size, neighbours of
+   compatible size are chained; the chains' connected components hold every link.
+4. A component (many small ones together, a large one as pairs of chunks) is
    joined exactly. Index lists are kept in blocks by set relation: the sets of one
    class. A block is skipped when its sizes or positions rule it out, or when its
    class is already the answer; and where a set is linked to a similar one, the
    overlaps computed for that one bound its own, so they are not computed again.
 
-Sets with equal grams are one class from the start, so copies cost nothing.
 Grams are 64-bit hashes, sets 128-bit fingerprints.
 
 Defined cases: null, empty and blank texts have an empty set and link with
@@ -38,9 +40,8 @@ from starfold.llm.common import as_bytes, mix, own_columns, packed, rolled, slic
 from starfold.llm.components import components
 from starfold.sources import stage
 
-BLOCK = 8 << 20
-#: Frequent grams that go last in the order: at most so many, in at least so many documents of a block.
-FREQUENT, OFTEN = 65_536, 3
+#: Bytes of text whose grams are compared and sent together, and of the text whose grams share a bucket.
+BLOCK, BUCKET_BYTES = 8 << 20, 8 << 20
 #: Grams in the sets that one task joins, about.
 GROUP_GRAMS = 2_000_000
 
@@ -67,37 +68,131 @@ def prefix_length(size, percent: int):
 
 # --- 1: description -----------------------------------------------------------------------
 
-_DESCRIBED = "key long, mark long, n long, class long, other long, gram long, docs long"
+_DESCRIBED = "key long, mark long, n long, class long, other long"
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _fingerprint(grams: np.ndarray, seed: int) -> tuple[int, int]:
+    both = xxhash.xxh3_128_intdigest(grams.tobytes(), seed)
+    return _signed(both & ((1 << 64) - 1)), _signed(both >> 64)
+
+
 def _describe(batches: Iterator[pa.RecordBatch], n: int, seed: int) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in _DESCRIBED.split(", ")]
     for batch in slices(batches, limit=BLOCK):
         sets = gram_sets(batch.column("text").to_pylist(), n)
-        prints = [xxhash.xxh3_128_intdigest(s.tobytes(), seed) for s in sets]
-        rows = len(sets)
-        seen, count = np.unique(np.concatenate(sets), return_counts=True)
-        often = np.flatnonzero(count >= OFTEN)
-        if len(often) > FREQUENT:
-            often = often[np.argpartition(count[often], -FREQUENT)[-FREQUENT:]]
-        none, blank = [None] * len(often), [None] * rows
-        columns = [
-            batch.column("key").to_pylist() + none,
-            batch.column("mark").to_pylist() + none,
-            [len(s) for s in sets] + none,
-            [_signed(p & ((1 << 64) - 1)) for p in prints] + none,
-            [_signed(p >> 64) for p in prints] + none,
-            blank + seen[often].view(np.int64).tolist(),
-            blank + count[often].tolist(),
-        ]
-        yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in zip(names, columns, strict=True)})
-
-
-# --- 2: candidates ------------------------------------------------------------------------
+        prints = [_fingerprint(s, seed) for s in sets]
+        known = [pa.array([len(s) for s in sets], pa.int64()), *(pa.array([p[i] for p in prints], pa.int64()) for i in (0, 1))]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), *known], [c.split()[0] for c in _DESCRIBED.split(", ")])
+
+
+# --- 2: shared grams ----------------------------------------------------------------------
+
+_SENT = "bucket long, grams binary, owners binary, classes binary, sizes binary, local_grams binary, local_owners binary"
+_NOBODY = np.uint16(65535)
+
+
+def _columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _send(batches: Iterator[pa.RecordBatch], n: int, seed: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row per bucket and block: its grams with the class that has each (nobody's if several have), and, apart, those of several."""
+    for batch in slices(batches, limit=BLOCK):
+        own: dict[int, np.ndarray] = {}
+        for s in gram_sets(batch.column("text").to_pylist(), n):
+            if len(s):
+                own.setdefault(_fingerprint(s, seed)[0], s)
+        items = list(own.items())
+        for start in range(0, len(items), 60_000):  # owners are numbered by 16 bits
+            part = items[start : start + 60_000]
+            classes = np.array([c for c, _ in part], np.int64)
+            sizes = np.array([len(s) for _, s in part], np.int64)
+            gram = np.concatenate([s for _, s in part])
+            owner = np.repeat(np.arange(len(part)), sizes).astype(np.uint16)
+            bucket = (mix(gram ^ np.uint64(0xA7)) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((gram, bucket))
+            gram, owner, bucket = gram[order], owner[order], bucket[order]
+            first = np.ones(len(gram), bool)
+            first[1:] = gram[1:] != gram[:-1]
+            several = np.zeros(len(gram), bool)
+            several[1:] |= ~first[1:]
+            several[:-1] |= ~first[1:]
+            cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(gram)]
+            out: list[list] = [[] for _ in _columns(_SENT)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                once, many = first[a:b], several[a:b]
+                own_gram, own_owner = gram[a:b], owner[a:b]
+                used = np.unique(own_owner)
+                number = np.searchsorted(used, own_owner).astype(np.uint16)
+                sent = np.where(many, _NOBODY, number)[once]
+                row = (own_gram[once], sent, classes[used], sizes[used], own_gram[many], number[many])
+                for column, value in zip(out, [int(bucket[a]), *map(packed, row)], strict=True):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if i == 0 else pa.binary()) for i, v in enumerate(out)], _columns(_SENT))
+
+
+_SHARED = "part long, grams binary, classes binary, sizes binary"
+
+
+def _told(table: pa.Table, parts: int) -> pa.Table:
+    """The shared grams of one bucket, each with its class and the class's size, dealt by class."""
+    get = lambda name, kind: [unpacked(x.as_py(), kind) for x in table.column(name)]
+    grams, owners, local, local_owner = get("grams", np.uint64), get("owners", np.uint16), get("local_grams", np.uint64), get("local_owners", np.uint16)
+    classes, sizes = get("classes", np.int64), get("sizes", np.int64)
+    base = np.cumsum([0] + [len(c) for c in classes])
+    name, size = np.concatenate(classes), np.concatenate(sizes)
+    nobody = len(name)
+    gram = np.concatenate(grams)
+    owner = np.concatenate([np.where(o == _NOBODY, nobody, o.astype(np.int64) + b) for o, b in zip(owners, base, strict=False)])
+    order = np.argsort(gram, kind="stable")
+    gram, owner = gram[order], owner[order]
+    named = np.append(name, 0)[owner]
+    new = np.ones(len(gram), bool)
+    new[1:] = gram[1:] != gram[:-1]
+    group = np.cumsum(new) - 1
+    # shared: several of a block have it, or two entries are of different classes
+    low = np.full(group[-1] + 1, np.iinfo(np.int64).max)
+    high = np.full(group[-1] + 1, np.iinfo(np.int64).min)
+    np.minimum.at(low, group, named)
+    np.maximum.at(high, group, named)
+    shared = low != high
+    shared[group[owner == nobody]] = True
+    keep = shared[group] & (owner != nobody)
+    gram = np.concatenate([gram[keep], *local])
+    owner = np.concatenate([owner[keep], *(o.astype(np.int64) + b for o, b in zip(local_owner, base, strict=False))])
+    part = (mix(name.view(np.uint64)) % np.uint64(parts)).astype(np.int64)[owner]
+    order = np.argsort(part, kind="stable")
+    gram, owner, part = gram[order], owner[order], part[order]
+    cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
+    out: list[list] = [[] for _ in _columns(_SHARED)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        for column, value in zip(out, [int(part[a]), packed(gram[a:b]), packed(name[owner[a:b]]), packed(size[owner[a:b]])], strict=True):
+            column.append(value)
+    return pa.table([pa.array(v, pa.int64() if i == 0 else pa.binary()) for i, v in enumerate(out)], _columns(_SHARED))
+
+
+_SETS = "class long, n long, grams binary"
+
+
+def _gather(table: pa.Table, percent: int) -> pa.Table:
+    """The classes of one part whose shared grams could make up a link, with these grams."""
+    whole = lambda name, kind: np.concatenate([unpacked(x.as_py(), kind) for x in table.column(name)])
+    gram, cls, size = whole("grams", np.uint64), whole("classes", np.int64), whole("sizes", np.int64)
+    order = np.lexsort((gram, cls))
+    gram, cls, size = gram[order], cls[order], size[order]
+    new = np.ones(len(gram), bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (cls[1:] != cls[:-1])  # copies in several blocks tell the same
+    gram, cls, size = gram[new], cls[new], size[new]
+    cuts = [*np.flatnonzero(np.diff(cls, prepend=cls[:1] - 1)).tolist(), len(cls)]
+    rows = [(int(cls[a]), int(size[a]), gram[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False) if 100 * (b - a) >= percent * size[a]]
+    columns = list(zip(*rows, strict=True)) or [(), (), ()]
+    return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())], _columns(_SETS))
+
+
+# --- 3: candidates ------------------------------------------------------------------------
 
 _LISTED = "bucket long, grams binary, reps binary, lows binary, highs binary, a binary, b binary"
 
@@ -116,23 +211,16 @@ def _chains(gram: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) -
     return on
 
 
-def _list(batches: Iterator[pa.RecordBatch], n: int, percent: int, seed: int, frequent: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in _LISTED.split(", ")]
-    for batch in slices(batches, limit=BLOCK):
+def _list(batches: Iterator[pa.RecordBatch], percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row per bucket and batch: chains of the sets listed under each gram (gram, least class, sizes at the ends), and their links."""
+    for batch in batches:
         grams, sizes, classes = [], [], []
-        for s in gram_sets(batch.column("text").to_pylist(), n):
-            if not len(s):
-                continue
-            p = prefix_length(len(s), percent)
-            at = np.searchsorted(frequent, s)
-            late = frequent[np.minimum(at, len(frequent) - 1)] == s if len(frequent) else np.zeros(len(s), bool)
-            early = s[~late]
-            if len(early) < p:  # frequent ones last, in the order of a hash of their own
-                rest = s[late]
-                early = np.concatenate([early, rest[np.argsort(mix(rest))[: p - len(early)]]])
-            grams.append(early[:p])
-            sizes.append(np.full(p, len(s), np.int64))
-            classes.append(np.full(p, _signed(xxhash.xxh3_128_intdigest(s.tobytes(), seed) & ((1 << 64) - 1)), np.int64))
+        for cls, n, own in zip(*(batch.column(c).to_pylist() for c in _columns(_SETS)), strict=True):
+            own = np.frombuffer(own, np.uint64)
+            own = own[: prefix_length(n, percent) - (n - len(own))]  # grams of one class come first
+            grams.append(own)
+            sizes.append(np.full(len(own), n, np.int64))
+            classes.append(np.full(len(own), cls, np.int64))
         if not grams:
             continue
         gram, size, cls = (np.concatenate(x) for x in (grams, sizes, classes))
@@ -145,14 +233,14 @@ def _list(batches: Iterator[pa.RecordBatch], n: int, percent: int, seed: int, fr
         rep, low, high = cls[head], size[head], size[np.append(head[1:], len(gram)) - 1]
         linked = np.flatnonzero(on & (cls != rep[chain]))
         cuts = np.flatnonzero(np.diff(bucket[head], prepend=-1))
-        out: list[list] = [[] for _ in names]
+        out: list[list] = [[] for _ in _columns(_LISTED)]
         for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(head)], strict=True):
             own = linked[np.searchsorted(linked, head[i]) : np.searchsorted(linked, head[j] if j < len(head) else len(gram))]
             pairs = np.unique(np.stack([rep[chain[own]], cls[own]]), axis=1) if len(own) else np.zeros((2, 0), np.int64)
             row = [int(bucket[head[i]]), *map(packed, (gram[head[i:j]], rep[i:j], low[i:j], high[i:j], pairs[0], pairs[1]))]
             for column, value in zip(out, row, strict=True):
                 column.append(value)
-        yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64() if c == "bucket" else pa.binary()) for c, v in zip(names, out, strict=True)})
+        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if i == 0 else pa.binary()) for i, v in enumerate(out)], _columns(_LISTED))
 
 
 def _connect(table: pa.Table, percent: int) -> pa.Table:
@@ -170,18 +258,22 @@ def _connect(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
 
-# --- 3: links ------------------------------------------------------------------------------
+# --- 4: links ------------------------------------------------------------------------------
 
 
-def linked_classes(names: list[int], sets: list[np.ndarray], percent: int) -> dict[int, int]:
-    """Least name of the class of each set, over all links among the sets."""
-    order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), names[i]))
-    sizes = [len(sets[i]) for i in order]
+def linked_classes(names: list[int], sets: list[np.ndarray], percent: int, whole: list[int] | None = None) -> dict[int, int]:
+    """Least name of the class of each set, over all links among the sets.
+
+    ``whole`` gives the sizes of the sets where ``sets`` leaves out grams that no other set has.
+    """
+    whole = whole or [len(s) for s in sets]
+    order = sorted(range(len(sets)), key=lambda i: (whole[i], names[i]))
+    sizes = [whole[i] for i in order]
     every, inverse, count = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True, return_counts=True)
     rank = np.empty(len(every), np.int64)
     rank[np.lexsort((every, count))] = np.arange(len(every))  # rare grams first
     alone = int((count == 1).sum())  # grams of one set only have the lowest ranks
-    ranked = [np.sort(x) for x in np.split(rank[inverse], np.cumsum(sizes)[:-1])]
+    ranked = [np.sort(x) for x in np.split(rank[inverse], np.cumsum([len(sets[i]) for i in order])[:-1])]
     parent = list(range(len(order)))
 
     def find(x: int) -> int:
@@ -198,8 +290,9 @@ def linked_classes(names: list[int], sets: list[np.ndarray], percent: int) -> di
         smallest = (percent * size + 99) // 100
         marked[own] = True
         similar, apart = -1, 0  # a set that y is linked to, and the grams of y that it lacks
-        prefix = own[: prefix_length(size, percent)].tolist()
-        for i, gram in enumerate(prefix):
+        missing = size - len(own)  # come before the others
+        prefix = list(enumerate(own[: max(0, prefix_length(size, percent) - missing)].tolist(), missing))
+        for i, gram in prefix:
             if gram < alone:
                 continue
             for root, block in list(lists[gram].items()):
@@ -222,7 +315,7 @@ def linked_classes(names: list[int], sets: list[np.ndarray], percent: int) -> di
                         parent[max(find(x), find(y))] = min(find(x), find(y))
                         similar, apart = x, size - common
                         break
-        for i, gram in enumerate(prefix):
+        for i, gram in prefix:
             if gram >= alone:
                 blocks = lists[gram]
                 for root in [r for r in blocks if find(r) != r]:  # classes that met since
@@ -238,14 +331,9 @@ def linked_classes(names: list[int], sets: list[np.ndarray], percent: int) -> di
     return {names[order[y]]: least[find(y)] for y in range(len(order))}
 
 
-def _join_group(table: pa.Table, n: int, percent: int) -> pa.Table:
-    names, sets = [], []
-    for start in range(0, table.num_rows, 512):
-        part = table.slice(start, 512)
-        names += part.column("class").to_pylist()
-        sets += gram_sets(part.column("text").to_pylist(), n)
-    distinct = dict(zip(names, sets, strict=True))
-    roots = linked_classes(list(distinct), list(distinct.values()), percent)
+def _join_group(table: pa.Table, percent: int) -> pa.Table:
+    rows = {c: (n, np.frombuffer(g, np.uint64)) for c, n, g in zip(*(table.column(c).to_pylist() for c in _columns(_SETS)), strict=True)}
+    roots = linked_classes(list(rows), [g for _, g in rows.values()], percent, [n for n, _ in rows.values()])
     return pa.table({"a": pa.array(list(roots), pa.int64()), "b": pa.array(list(roots.values()), pa.int64())})
 
 
@@ -261,42 +349,39 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = own_columns(docs, key, text).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     for seed in range(8):
         described = stage(rows.mapInArrow(lambda it, s=seed: _describe(it, n, s), _DESCRIBED), "jaccard-sets")
-        sets = described.filter("n is not null")
-        classes = sets.filter("n > 0").groupBy("class").agg(
-            F.min(F.struct("key", "mark")).alias("first"), F.min("key").alias("least"), F.max("n").alias("n"),
-            F.min("other").alias("other"), F.max("other").alias("other_too"),
+        classes = described.filter("n > 0").groupBy("class").agg(
+            F.min("key").alias("least"), F.min("other").alias("other"), F.max("other").alias("other_too"),
         )
         classes = stage(classes, "jaccard-classes")
         if classes.filter("other <> other_too").isEmpty():
             break  # else two different sets share 64 bits of their fingerprints
-    top = described.filter("n is null").groupBy("gram").agg(F.sum("docs").alias("docs")).orderBy(F.desc("docs"), "gram").limit(FREQUENT)
-    frequent = np.sort(np.array([r["gram"] for r in top.select("gram").collect()], np.int64).view(np.uint64))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(64, total // (4 << 20))
-    listed = rows.select("text").mapInArrow(lambda it: _list(it, n, percent, seed, frequent, buckets), _LISTED)
+    buckets = max(64, total // BUCKET_BYTES)
+    sent = rows.select("text").mapInArrow(lambda it: _send(it, n, seed, buckets), _SENT)
+    shared = sent.groupBy("bucket").applyInArrow(lambda t: _told(t, buckets), _SHARED)
+    near = stage(shared.groupBy("part").applyInArrow(lambda t: _gather(t, percent), _SETS), "jaccard-shared")
+    listed = near.mapInArrow(lambda it: _list(it, percent, buckets), _LISTED)
     pairs = listed.groupBy("bucket").applyInArrow(lambda t: _connect(t, percent), "a long, b long").distinct()
     candidates = stage(components(stage(pairs, "jaccard-pairs")), "jaccard-candidates")
 
-    members = candidates.join(classes, candidates["node"] == classes["class"]).select("class", "root", "n", "first")
-    sizes = members.groupBy("root").agg(F.sum("n").alias("grams")).withColumn("chunks", F.ceil(F.col("grams") / (4 * group_grams)))
-    small = max(1, (sizes.filter("chunks = 1").agg(F.sum("grams")).first()[0] or 0) // group_grams)
+    members = candidates.join(near, candidates["node"] == near["class"]).select("class", "root", "n", "grams")
+    sizes = candidates.join(near.select("class", "n"), candidates["node"] == near["class"]).groupBy("root").agg(F.sum("n").alias("sum"))
+    sizes = stage(sizes.withColumn("chunks", F.ceil(F.col("sum") / (4 * group_grams))), "jaccard-sizes")
+    small = max(1, (sizes.filter("chunks = 1").agg(F.sum("sum")).first()[0] or 0) // group_grams)
     own = F.pmod(F.xxhash64("class"), "chunks")
     dealt = members.join(sizes, "root").withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))})
     one = F.concat(F.lit("s"), F.pmod(F.xxhash64("root"), F.lit(small)))
     several = F.concat_ws(" ", "root", F.least("own", "other"), F.greatest("own", "other"))
-    dealt = dealt.withColumn("group", F.when(F.col("chunks") == 1, one).otherwise(several))
-    dealt = stage(dealt.select("class", "group", "chunks", F.col("first.key").alias("key"), "first.mark"), "jaccard-members")
-    a, b = rows.alias("a"), dealt.alias("b")
-    texts = a.join(b, (F.col("a.mark") == F.col("b.mark")) & F.col("a.key").eqNullSafe(F.col("b.key"))).select("group", "class", "text")
-    found = stage(texts.groupBy("group").applyInArrow(lambda t: _join_group(t, n, percent), "a long, b long"), "jaccard-links")
-    if dealt.filter("chunks > 1").isEmpty():
+    dealt = dealt.withColumn("group", F.when(F.col("chunks") == 1, one).otherwise(several)).select("group", *_columns(_SETS))
+    found = stage(dealt.groupBy("group").applyInArrow(lambda t: _join_group(t, percent), "a long, b long"), "jaccard-links")
+    if sizes.filter("chunks > 1").isEmpty():
         roots = found.select(F.col("a").alias("class"), F.col("b").alias("root"))
     else:
         roots = components(found).withColumnRenamed("node", "class")
     in_class = classes.select("class", "least").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = in_class.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stage(in_class.join(least, "root").select("class", "root", "component_id"), "jaccard-components")
-    return sets.join(named, "class", "left").select(
+    return described.join(named, "class", "left").select(
         F.col("key").alias(key), "mark", F.col("n").alias("n_grams"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("root")).alias("root"),
