@@ -158,7 +158,8 @@ def same_bytes(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFr
     content = F.coalesce(F.col(text), F.lit("")).cast("binary")
     texts = own_columns(docs, key, text).select(F.col(key).alias("key"), F.unhex(F.sha2(content, 256)).alias("digest"), content.alias("content"))
     a, b = picked.alias("a"), texts.alias("b")
-    met = a.join(b, F.col("a.digest").eqNullSafe(F.col("b.digest")) & F.col("a.key").eqNullSafe(F.col("b.key")))
+    # by sort and merge at every size: a text is shuffled once, and neither side is sent to all tasks
+    met = b.join(a.hint("merge"), F.col("a.digest").eqNullSafe(F.col("b.digest")) & F.col("a.key").eqNullSafe(F.col("b.key")))
     return met.groupBy("a.digest").agg((F.min("content") == F.max("content")).alias("same")).filter("same").select("digest")
 
 
