@@ -160,7 +160,8 @@ def same_bytes(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFr
     a, b = picked.alias("a"), texts.alias("b")
     # by sort and merge at every size: a text is shuffled once, and neither side is sent to all tasks
     met = b.join(a.hint("merge"), F.col("a.digest").eqNullSafe(F.col("b.digest")) & F.col("a.key").eqNullSafe(F.col("b.key")))
-    return met.groupBy("a.digest").agg((F.min("content") == F.max("content")).alias("same")).filter("same").select("digest")
+    both = F.count_distinct(F.struct("a.key")) == 2
+    return met.groupBy("a.digest").agg((both & (F.min("content") == F.max("content"))).alias("same")).filter("same").select("digest")
 
 
 def ingest(snapshot: Snapshot | None, rows: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
