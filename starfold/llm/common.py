@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -29,6 +30,12 @@ def ready(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [here, env.get("PYTHONPATH", "")]))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are stored by now; it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -203,8 +203,9 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", batche
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without their duplicates, with the columns they had: the largest key of each text."""
-    kept = exact_dedup(docs, key, text).filter("kept").select(F.col("digest").alias("__digest"), F.col(key).alias("__key")).distinct()
+    # key and digest as one string: texts are shuffled by it once, for the join and for repeated rows
+    row = lambda k, digest: F.concat_ws(" ", digest, F.coalesce(k.cast("string"), F.lit("-")))
+    kept = exact_dedup(docs, key, text).filter("kept").select(row(F.col(key), F.lower(F.hex("digest"))).alias("__row"))
     content = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    a, b = docs.withColumn("__own", F.unhex(F.sha2(content, 256))).alias("a"), kept.alias("b")
-    found = a.join(b, (F.col("__own") == F.col("__digest")) & F.col(f"a.{key}").eqNullSafe(F.col("b.__key")), "left_semi")
-    return found.dropDuplicates([key, "__own"]).drop("__own")
+    own = docs.withColumn("__row", row(F.col(key), F.sha2(content, 256)))
+    return own.join(kept.hint("merge"), "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import as_bytes, mix, own_columns, packed, rolled, slices, unpacked, words
+from starfold.llm.common import as_bytes, mix, own_columns, packed, release, rolled, slices, unpacked, words
 from starfold.llm.components import components
 from starfold.sources import stage
 
@@ -360,6 +360,8 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     sent = rows.select("text").mapInArrow(lambda it: _send(it, n, seed, buckets), _SENT)
     shared = sent.groupBy("bucket").applyInArrow(lambda t: _told(t, buckets), _SHARED)
     near = stage(shared.groupBy("part").applyInArrow(lambda t: _gather(t, percent), _SETS), "jaccard-shared")
+    del sent, shared
+    release(rows.sparkSession)
     listed = near.mapInArrow(lambda it: _list(it, percent, buckets), _LISTED)
     pairs = listed.groupBy("bucket").applyInArrow(lambda t: _connect(t, percent), "a long, b long").distinct()
     candidates = stage(components(stage(pairs, "jaccard-pairs")), "jaccard-candidates")
@@ -391,8 +393,8 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """The documents, with the columns they had, less all but the least key of each component."""
     found = similarity_classes(docs, key, text, n, percent).filter(F.col(key).eqNullSafe(F.col("component_id")))
-    first = found.select(F.col(key).alias("__key"), F.col("mark").alias("__mark"), "root")
-    first = first.groupBy("root", "__key").agg(F.min("__mark").alias("__mark")).drop("root").distinct()
-    a, b = docs.withColumn("__own", F.xxhash64(text)).alias("a"), first.alias("b")
-    met = a.join(b, (F.col("__own") == F.col("__mark")) & F.col(f"a.`{key}`").cast("long").eqNullSafe(F.col("b.__key")), "left_semi")
-    return met.dropDuplicates([key, "__own"]).drop("__own")
+    # key and mark as one string: texts are shuffled by it once, for the join and for repeated rows
+    row = lambda k, mark: F.concat_ws(" ", mark.cast("string"), F.coalesce(k.cast("long").cast("string"), F.lit("-")))
+    first = found.groupBy("root", key).agg(F.min("mark").alias("mark")).select(row(F.col(key), F.col("mark")).alias("__row"))
+    own = docs.withColumn("__row", row(F.col(key), F.xxhash64(text)))
+    return own.join(first.hint("merge"), "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import as_bytes, mix, own_columns, packed, rolled, slices, unpacked, words
+from starfold.llm.common import as_bytes, mix, own_columns, packed, release, rolled, slices, unpacked, words
 from starfold.sources import stage
 
 #: Words in the runs whose hashes are compared for the minimiser.
@@ -210,6 +210,8 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     dealt = strings.join(F.broadcast(split) if split.count() <= 100_000 else split, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("part", F.pmod("part", "parts"))
     found = stage(dealt.groupBy("bucket", "part").applyInArrow(lambda t: _meet(t, window), _FOUND), "passages-found")
+    del strings, dealt
+    release(rows.sparkSession)
     across = found.filter("words is not null").withColumn("low", F.min("key").over(Window.partitionBy("words")))
     return found.filter("words is null").drop("words").unionByName(across.filter("key > low").drop("words", "low"))
 
