@@ -132,7 +132,7 @@ def brute_removal(rows, window):
 @pytest.mark.parametrize("window", [13, 5])
 def test_remove_repeats(docs, rows, table, window):
     found = substring_dedup.remove_repeats(docs, window=window)
-    assert found.columns == docs.columns
+    assert sorted(found.columns) == sorted(docs.columns)
     assert table(found.select("doc_id", "passages.n_words", "passages.n_removed", "passages.kept_text")) == brute_removal(rows, window)
 
 
