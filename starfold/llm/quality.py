@@ -36,6 +36,8 @@ from starfold.sources import stage
 
 #: Rows that the model is fitted on, of each kind.
 SAMPLE = 20_000
+#: Characters of text that are measured at once when rows are scored in place.
+SCORED_CHARS = 2_000_000
 
 _KINDS = [
     range(97, 123), range(65, 91), range(48, 58), b" ", b"\t\n\r", b".", b",", b"!?", b"'\"-():;", b"|",
@@ -208,7 +210,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     def score(texts):
         import pandas as pd
 
-        x = features(texts.where(texts.notna(), None).tolist()).astype(np.float16).astype(float)
-        return pd.Series(model.score(x) if model else np.full(len(x), prior))
+        own, out = texts.where(texts.notna(), None).tolist(), []
+        group = np.cumsum([len(t or "") for t in own]) // SCORED_CHARS  # a batch of rows may hold much text
+        for part in np.split(np.arange(len(own)), np.flatnonzero(np.diff(group)) + 1):
+            x = features([own[i] for i in part]).astype(np.float16).astype(float)
+            out.append(model.score(x) if model else np.full(len(x), prior))
+        return pd.Series(np.concatenate(out))
 
     return docs.filter(score(F.col(text)) >= least)
