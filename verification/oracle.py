@@ -299,6 +299,14 @@ def _dollars(expression: str) -> str:
     return f"format('${{:,.2f}}', {expression})"
 
 
+_PRESENTED = f"""SELECT {_PRESENT}
+  FROM fact LEFT JOIN dim_time t ON fact.time_key = t.time_key
+    LEFT JOIN dim_location l ON fact.location_key = l.location_key
+    LEFT JOIN dim_vehicle v1 ON fact.primary_vehicle_key = v1.vehicle_key
+    LEFT JOIN dim_vehicle v2 ON fact.secondary_vehicle_key = v2.vehicle_key
+    LEFT JOIN dim_factor f1 ON fact.primary_factor_key = f1.factor_key
+    LEFT JOIN dim_factor f2 ON fact.secondary_factor_key = f2.factor_key"""
+
 ORACLES: dict[str, str] = {
     # an empty CSV field is NULL
     "bronze_roundtrip": _with(
@@ -326,14 +334,9 @@ ORACLES: dict[str, str] = {
     + "\nSELECT * FROM nullsafe",
     "present_view": _with(
         "fact",
-        f"""SELECT {_PRESENT}
-  FROM fact LEFT JOIN dim_time t ON fact.time_key = t.time_key
-    LEFT JOIN dim_location l ON fact.location_key = l.location_key
-    LEFT JOIN dim_vehicle v1 ON fact.primary_vehicle_key = v1.vehicle_key
-    LEFT JOIN dim_vehicle v2 ON fact.secondary_vehicle_key = v2.vehicle_key
-    LEFT JOIN dim_factor f1 ON fact.primary_factor_key = f1.factor_key
-    LEFT JOIN dim_factor f2 ON fact.secondary_factor_key = f2.factor_key""",
+        _PRESENTED,
     ),
+    "present_view_nullsafe": _with("dims", "") + ", " + _fact("fact", "IS NOT DISTINCT FROM") + "\n" + _PRESENTED,
     "claims": _gold("SELECT * FROM claims"),
     "claims_profile": _gold(
         f"""SELECT count(*) AS total_claims, count(*) FILTER (claim_status = 'OPEN') AS open_claims,

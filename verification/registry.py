@@ -21,6 +21,7 @@ from starfold.operators import (
     histogram,
     lookup,
     orphan_keys,
+    present,
     reject_counts,
     rollup,
     row_id,
@@ -30,7 +31,7 @@ from starfold.operators import (
 )
 from starfold.operators.rollup import Measure
 from starfold.plans import CATALOG, REPORTS, Lake
-from starfold.sources import read_csv, scratch_dir, write_csv
+from starfold.sources import read_csv, scratch_dir, stage, write_csv
 from verification.binding import load, raw_collisions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,11 @@ def fact_collisions_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact(built.table("silver"), built.dims(), null_safe=True)
 
 
+def present_view_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The presentation table of the fact whose NULL key parts find their dimension rows."""
+    return present(stage(fact_collisions_nullsafe(spark, sf_dir), "nullsafe"), lake(spark, sf_dir).dims())
+
+
 def fact_collisions_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact by the plan for dimensions too large to broadcast."""
     built = lake(spark, sf_dir)
@@ -208,6 +214,7 @@ QUERIES: dict[str, Query] = {
     "fact_collisions_large_dims": fact_collisions_large_dims,
     "dim_location_large": dim_location_large,
     "present_view": _table("presentation"),
+    "present_view_nullsafe": present_view_nullsafe,
     "claims": _table("fact_claims"),
     "claims_profile": claims_profile_query,
     "claims_by_severity": claims_by_severity_query,
