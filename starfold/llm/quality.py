@@ -129,14 +129,14 @@ def nn_risk(z_pos: np.ndarray, z_unl: np.ndarray, prior: float) -> tuple[float,
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """Minimise the non-negative risk."""
     centre, spread = unlabelled.mean(0), unlabelled.std(0) + 1e-3
-    p, u = ((x - centre) / spread for x in (positive, unlabelled))
-    p, u = (np.column_stack([x, np.ones(len(x))]) for x in (p, u))
+    p, u = (np.column_stack([(x - centre) / spread, np.ones(len(x))]).astype(np.float32) for x in (positive, unlabelled))
 
     def gradient(w: np.ndarray) -> np.ndarray:
+        w = w.astype(np.float32)
         zp, zu = p @ w, u @ w
         _, negative = nn_risk(zp, zu, prior)
-        of_negative = (u * _sigmoid(zu)[:, None]).mean(0) - prior * (p * _sigmoid(zp)[:, None]).mean(0)
-        of_positive = -prior * (p * _sigmoid(-zp)[:, None]).mean(0)
+        of_negative = _sigmoid(zu) @ u / len(u) - prior * (_sigmoid(zp) @ p) / len(p)
+        of_positive = -prior * (_sigmoid(-zp) @ p) / len(p)
         shrink = decay * np.append(w[:-1], 0)
         return (of_positive + of_negative if negative >= 0 else -of_negative) + shrink
 
@@ -166,7 +166,7 @@ def train(measures: DataFrame, labels: DataFrame, key: str = "doc_id", label: st
     draw = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / F.lit(1 << 20)
     some = known.filter((draw < sample / rows) | ((F.col("y") == 1) & (draw < sample / ones)) | ((F.col("y") == 0) & (draw < sample / max(1, zeros))))
     some = some.select("measures", "y", (draw < sample / rows).alias("unlabelled")).toPandas()
-    x = np.frombuffer(b"".join(some["measures"]), np.float16).reshape(-1, FEATURES).astype(float)
+    x = np.frombuffer(b"".join(some["measures"]), np.float16).reshape(-1, FEATURES).astype(np.float32)
     y, any_ = some["y"].to_numpy(float, na_value=np.nan), some["unlabelled"].to_numpy(bool)
     if not any_.any():
         any_ = np.ones(len(x), bool)
