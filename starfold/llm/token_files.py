@@ -2,8 +2,8 @@
 
 Documents are dealt by ranges of their key; each task writes one file, its
 documents in ascending order, as sequences of equal length. A record batch holds
-a fixed number of sequences as fixed-size lists: ``ids``, ``mask`` (1 where an id
-is, 0 for the padding of a file's last sequences) and ``ends`` (1 on the last id
+a fixed number of sequences as fixed-size lists: ``ids``, ``mask`` (a bit that is set where an id
+is and not for the padding of a file's last sequences) and ``ends`` (a bit set on the last id
 of a document). All batches of a file have the same number of bytes, so batch k
 starts at ``head + k * step`` and is read from a memory map without a copy.
 Which document is where stands in an index file of the same kind (key, n_tokens).
@@ -47,7 +47,7 @@ def _lists(values: np.ndarray, length: int) -> pa.FixedSizeListArray:
 
 
 def sequence_schema(kind: np.dtype, length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length)), ("ends", pa.list_(pa.uint8(), length))])
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length)), ("ends", pa.list_(pa.bool_(), length))])
 
 
 class _Writer:
@@ -56,7 +56,7 @@ class _Writer:
     def __init__(self, sink, kind: np.dtype, length: int, rows: int):
         self.sink, self.size, self.length, self.rows = sink, length * rows, length, rows
         self.schema = sequence_schema(kind, length)
-        self.ids, self.ends = np.zeros(self.size, kind), np.zeros(self.size, np.uint8)
+        self.ids, self.ends = np.zeros(self.size, kind), np.zeros(self.size, bool)
         self.filled = self.batches = self.tokens = 0
         self.stream = pa.ipc.new_stream(sink, self.schema)
         empty = pa.BufferOutputStream()
@@ -71,18 +71,18 @@ class _Writer:
             self.ids[self.filled : self.filled + n] = ids[done : done + n]
             done, self.filled = done + n, self.filled + n
             if done == len(ids):
-                self.ends[self.filled - 1] = 1
+                self.ends[self.filled - 1] = True
             if self.filled == self.size:
                 self.flush()
 
     def flush(self) -> None:
-        mask = (np.arange(self.size) < self.filled).astype(np.uint8)
+        mask = np.arange(self.size) < self.filled
         columns = [_lists(x.copy(), self.length) for x in (self.ids, mask, self.ends)]
         self.stream.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
         self.step = self.step or self.sink.tell() - self.head
         self.batches += 1
         self.filled = 0
-        self.ids[:], self.ends[:] = 0, 0
+        self.ids[:], self.ends[:] = 0, False
 
     def close(self) -> None:
         if self.filled:
@@ -154,7 +154,7 @@ class TokenFile:
         at = self.batch(i // first.num_rows) if i >= first.num_rows else first
         r = i % first.num_rows
         length = at.schema.field("ids").type.list_size
-        flat = {c: at.column(c).flatten().to_numpy() for c in ("ids", "mask", "ends")}
+        flat = {c: at.column(c).flatten().to_numpy(zero_copy_only=c == "ids") for c in ("ids", "mask", "ends")}
         return {c: v[r * length : (r + 1) * length] for c, v in flat.items()}
 
     def index(self) -> Iterator[pa.RecordBatch]:
@@ -184,7 +184,7 @@ def read_documents(spark: SparkSession, path: str, key: str = "doc_id") -> DataF
 
 def _documents(row: dict) -> Iterator[pa.RecordBatch]:
     file = TokenFile(row)
-    ids, ends, k, start = np.zeros(0, np.uint32), np.zeros(0, np.uint8), 0, row["base"]
+    ids, ends, k, start = np.zeros(0, np.uint32), np.zeros(0, bool), 0, row["base"]
     for part in file.index():
         keys, sizes, out, total = part.column("key"), part.column("n_tokens").to_numpy(), [], 0
         first = start
@@ -195,13 +195,13 @@ def _documents(row: dict) -> Iterator[pa.RecordBatch]:
             while have < size:
                 batch = file.batch(k)
                 k += 1
-                real = batch.column("mask").flatten().to_numpy() == 1
+                real = batch.column("mask").flatten().to_numpy(zero_copy_only=False)
                 pieces.append(batch.column("ids").flatten().to_numpy()[real].astype(np.uint32))
-                tails.append(batch.column("ends").flatten().to_numpy()[real])
+                tails.append(batch.column("ends").flatten().to_numpy(zero_copy_only=False)[real])
                 have += len(pieces[-1])
             if len(pieces) > 1:
                 ids, ends = np.concatenate(pieces), np.concatenate(tails)
-            if ends[size - 1] != 1 or ends[: size - 1].any():
+            if not ends[size - 1] or ends[: size - 1].any():
                 raise ValueError(f"{row['path']}: index and sequences differ")
             out.append(ids[:size].tobytes())
             ids, ends = ids[size:], ends[size:]
