@@ -6,6 +6,7 @@
     python -m starfold reports ROOT [NAME ...] [--out DIR] [--rows N]
     python -m starfold sql ROOT "SELECT ... FROM fact_collisions ..." [--out DIR] [--rows N]
     python -m starfold inspect ROOT TABLE
+    python -m starfold expire ROOT [--keep N]
 
 Results print N rows (20 unless given) and say how many there are; ``--out`` writes each whole result
 as Parquet to DIR/NAME. ``build`` and ``checks`` end with 1 when a check failed, ``queries`` and ``reports`` when one could not be run.
@@ -19,9 +20,9 @@ import sys
 from pyspark.sql import DataFrame
 
 from starfold.operators import exit_code, run_checks, summarize
-from starfold.plans import CATALOG, LAYOUT, REPORTS, Lake, open_gold, run_catalog
+from starfold.plans import CATALOG, LAYOUT, REPORTS, Lake, open_gold, open_table, run_catalog
 from starfold.session import session
-from starfold.sources import inspect, read_table, write_table
+from starfold.sources import expire_versions, inspect, write_table
 
 SHOWN = 20
 
@@ -53,6 +54,9 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
     look = commands.add_parser("inspect")
     look.add_argument("root")
     look.add_argument("table", choices=list(LAYOUT))
+    expire = commands.add_parser("expire")
+    expire.add_argument("root")
+    expire.add_argument("--keep", type=int, default=2, help="newest versions that stay readable")
     return parser.parse_args(argv)
 
 
@@ -92,12 +96,15 @@ def main(argv: list[str] | None = None) -> int:
         )
         return _report(made.run())
     if args.command == "inspect":
-        inspect(read_table(spark, f"{args.root.rstrip('/')}/{LAYOUT[args.table]}"), SHOWN)
+        inspect(open_table(spark, args.root, args.table), SHOWN)
+        return 0
+    if args.command == "expire":
+        for path in expire_versions(spark, args.root.rstrip("/"), args.keep):
+            print(f"deleted {path}")
         return 0
     gold = open_gold(spark, args.root)
     if args.command == "checks":
-        silver = read_table(spark, f"{args.root.rstrip('/')}/{LAYOUT['silver']}")
-        return _report(run_checks({"silver": silver, **gold.tables()}))
+        return _report(run_checks({"silver": open_table(spark, args.root, "silver"), **gold.tables()}))
     if args.command == "sql":
         gold.register()
         _shower(args)("sql", spark.sql(args.text))

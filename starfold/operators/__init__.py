@@ -2,7 +2,7 @@
 
 from starfold.operators.claims import claims_by_severity, claims_profile, generate_claims
 from starfold.operators.clean import CleanSpec, clean, reject_counts, row_id
-from starfold.operators.copies import number_copies
+from starfold.operators.copies import copy_limits, number_copies
 from starfold.operators.dims import (
     build_code_dim,
     build_factor_dim,
@@ -10,7 +10,7 @@ from starfold.operators.dims import (
     build_time_dim,
     build_vehicle_dim,
 )
-from starfold.operators.fact import build_fact
+from starfold.operators.fact import build_fact, natural_hot_keys, surrogate_hot_keys
 from starfold.operators.keys import dense_key
 from starfold.operators.lookup import lookup
 from starfold.operators.present import present
@@ -26,7 +26,7 @@ from starfold.operators.quality import (
 )
 from starfold.operators.rollup import Measure, claim_rollup, rollup, star_rollup, with_share
 from starfold.operators.sample import hash_sample, histogram, smallest
-from starfold.operators.skew import LIMITS, Limits, hot_hashes
+from starfold.operators.skew import LIMITS, Limits, hot_hashes, may_broadcast
 
 __all__ = [
     "LIMITS",
@@ -47,6 +47,7 @@ __all__ = [
     "claims_by_severity",
     "claims_profile",
     "clean",
+    "copy_limits",
     "dense_key",
     "exit_code",
     "generate_claims",
@@ -54,6 +55,8 @@ __all__ = [
     "histogram",
     "hot_hashes",
     "lookup",
+    "may_broadcast",
+    "natural_hot_keys",
     "number_copies",
     "orphan_keys",
     "present",
@@ -64,5 +67,6 @@ __all__ = [
     "smallest",
     "star_rollup",
     "summarize",
+    "surrogate_hot_keys",
     "with_share",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,15 +21,21 @@ def _number(value: float) -> Column:
 
 
 def generate_claims(
-    fact: DataFrame, seed: str = "", rules: ClaimRules = ClaimRules(), *, limits: Limits = LIMITS
+    fact: DataFrame,
+    seed: str = "",
+    rules: ClaimRules = ClaimRules(),
+    *,
+    hot: Sequence[int] | None = None,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """At most one claim per fact row; likelier, dearer and slower to close the worse the outcome.
 
     Every draw hashes the row's identity: collision id, plus a number for the
     second and later rows with the same id, so claim ids are unique and draws
-    independent. Results do not change with partitioning, retries or reruns.
+    independent. Results do not change with partitioning, retries or reruns. ``hot`` gives the
+    hashes of hot collision ids when they are known.
     """
-    rows = number_copies(fact.select("collision_id", *_CARRIED), "collision_id", _CARRIED, limits=limits)
+    rows = number_copies(fact.select("collision_id", *_CARRIED), "collision_id", _CARRIED, hot=hot, limits=limits)
     who = F.coalesce("collision_id", F.lit(""))
     who = F.when(F.col("copy_no") == 1, who).otherwise(F.concat_ws("#", who, F.col("copy_no").cast("string")))
     rows = rows.select("*", who.alias("__who"))

@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.operators.skew import LIMITS, Limits, cast_keys, hot_hashes, key_hash, small_enough
-from starfold.sources.tables import stored_rows
+from starfold.operators.skew import LIMITS, Limits, cast_keys, hot_hashes, key_hash, may_broadcast
 
 
 def lookup(
@@ -20,7 +19,7 @@ def lookup(
     *,
     null_safe: bool = False,
     hot: Sequence[int] | None = None,
-    right_rows: int | None = None,
+    bound: tuple[DataFrame, Sequence[str]] | None = None,
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """Add ``take`` (right column -> new name) to every row of ``left``; NULL where nothing matches.
@@ -28,10 +27,11 @@ def lookup(
     ``on`` maps left key columns to right ones; the right key is unique, so the
     number of rows never changes. ``null_safe`` lets NULL match NULL. ``hot``
     gives the hot key hashes when known (``hot_hashes``); otherwise ``left`` is
-    profiled. ``right`` is a stored table, or ``right_rows`` bounds its rows.
+    profiled. ``right`` is a stored table; else ``bound`` names one that has at least as
+    many rows, and its columns that ``right`` is made of.
 
-    - A right side of at most ``limits.broadcast_rows`` rows, and not of more than
-      ``limits.broadcast_bytes`` where the table is stored, is broadcast.
+    - A right side of at most ``limits.broadcast_rows`` rows and ``limits.broadcast_bytes``
+      bytes is broadcast (``may_broadcast``).
     - A larger one is joined by shuffle, after the hot keys: their right rows,
       no more than the hot keys in number, are broadcast. Rows already answered
       that way, and rows whose NULL key cannot match, get their own input
@@ -50,8 +50,7 @@ def lookup(
         tests = [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs]
         return reduce(lambda x, y: x & y, tests)
 
-    few_rows = (stored_rows(right) if right_rows is None else right_rows) <= limits.broadcast_rows
-    if few_rows and (right_rows is not None or small_enough(narrow, limits)):
+    if may_broadcast(*(bound or (right, list(dict.fromkeys([*rkeys, *take])))), limits):
         joined = left.join(F.broadcast(narrow), same(list(zip(lkeys, names))), "left")
         return joined.select(*left.columns, *[F.col(v).alias(n) for v, n in zip(values, take.values())])
 

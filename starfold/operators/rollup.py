@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from starfold.operators.claims import money
 from starfold.operators.lookup import lookup
-from starfold.operators.skew import LIMITS, Limits, hot_hashes, small_enough
-from starfold.sources.tables import fits, stored_rows
+from starfold.operators.skew import LIMITS, Limits, hot_hashes, may_broadcast
+from starfold.sources.tables import stored_rows
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,7 @@ def star_rollup(
     rows = dim if where is None else dim.filter(where)
     own = [c for c in by if c not in dim.columns]
     narrow = rows.select(F.col(dim_key).alias("__key"), *[c for c in by if c not in own])
-    if fits(dim, limits.broadcast_rows) and small_enough(narrow, limits):
+    if may_broadcast(dim, [dim_key, *[c for c in by if c not in own]], limits):
         return rollup(fact.join(F.broadcast(narrow), F.col(fact_key) == F.col("__key")), by, measures)
     per_key = (
         fact.filter(F.col(fact_key).isNotNull())
@@ -118,7 +118,7 @@ def claim_rollup(
         narrow = fact.filter(F.col(fact_key).isNotNull()).select(
             "collision_id", fact_key, *[c for c in by if c not in dim.columns]
         )
-        rows = lookup(narrow, chosen, {fact_key: dim_key}, taken, right_rows=stored_rows(dim), limits=limits)
+        rows = lookup(narrow, chosen, {fact_key: dim_key}, taken, bound=(dim, list(taken)), limits=limits)
         rows = rows.filter(F.col("__dim_key").isNotNull())
     amount = money("claim_amount")
     per_id = claims.groupBy(F.col("collision_id").alias("__id")).agg(
@@ -135,14 +135,14 @@ def claim_rollup(
         pairs = groups.join(per_id, F.col("collision_id") == F.col("__id"), kind)
     else:
         weight = F.lit(1).cast("bigint")
-        bound = stored_rows(claims)
+        bound = claims, ("collision_id", "claim_id", "claim_amount")
         hot = None
-        if bound > limits.broadcast_rows:
+        if not may_broadcast(*bound, limits):
             hot = hot_hashes(fact, {"id": ["collision_id"]}, limits, rows=stored_rows(fact))["id"]
         values = {c: c for c in ("__n", "__amounts", "__sum", "__low", "__high")}
         pairs = lookup(
             rows.select("collision_id", *by), per_id, {"collision_id": "__id"}, values,
-            hot=hot, right_rows=bound, limits=limits,
+            hot=hot, bound=bound, limits=limits,
         )
         if not keep_unclaimed:
             pairs = pairs.filter(F.col("__n").isNotNull())

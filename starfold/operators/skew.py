@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.sources.tables import stage
+from starfold.sources.tables import stage, stored_rows
 
 
 @dataclass(frozen=True)
@@ -86,13 +86,25 @@ def hot_hashes(
     least = max(limits.hot_rows, total / limits.hot_keys)
     if total < limits.hot_rows:
         return {name: [] for name in keys}
-    found = {}
-    for name in keys:
-        listed = lists.select("__rows", F.explode(name).alias("e")).filter(F.col("e.count") >= F.col("__rows") / limits.hot_keys)
-        items = listed.select(F.col("e.item").alias("__item")).distinct()
-        found[name] = []
-        if not items.isEmpty():
-            met = hashed.select(F.col(name).alias("__item")).join(F.broadcast(items), "__item")
-            counted = met.groupBy("__item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
-            found[name] = [r["__item"] for r in counted.collect()]
+    listed = F.array(*[F.struct(F.lit(i).alias("__set"), F.col(name).alias("__list")) for i, name in enumerate(keys)])
+    items = lists.select("__rows", F.explode(listed).alias("s")).select("__rows", "s.__set", F.explode("s.__list").alias("e"))
+    items = items.filter(F.col("e.count") >= F.col("__rows") / limits.hot_keys)
+    items = items.select("__set", F.col("e.item").alias("__item")).distinct()
+    found = {name: [] for name in keys}
+    if items.isEmpty():
+        return found
+    each = F.array(*[F.struct(F.lit(i).alias("__set"), F.col(name).alias("__item")) for i, name in enumerate(keys)])
+    met = hashed.select(F.explode(each).alias("e")).select("e.*").join(F.broadcast(items), ["__set", "__item"])
+    counted = met.groupBy("__set", "__item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    names = list(keys)
+    for row in counted.collect():
+        found[names[row["__set"]]].append(row["__item"])
     return found
+
+
+def may_broadcast(table: DataFrame, columns: Sequence[str], limits: Limits = LIMITS) -> bool:
+    """The one decision whether a join side is sent to all tasks, by rows and by bytes.
+
+    The side is ``columns`` of a stored table, or has at most a row for each of its rows, made of these columns.
+    """
+    return stored_rows(table) <= limits.broadcast_rows and small_enough(table.select(*columns), limits)

@@ -3,6 +3,10 @@
 raw -> bronze -> silver -> dimensions -> fact -> claims, presentation table.
 Every layer is written as Parquet and the next one reads the stored table, so a
 lost executor costs tasks, never layers, and no layer is computed twice.
+
+Each build of a table has a folder of its own. Readers (``open_gold``,
+``open_table``) follow the published version, which is switched in one step when a
+build is whole: one that dies in any layer leaves what they see as it was.
 """
 
 from __future__ import annotations
@@ -26,13 +30,18 @@ from starfold.operators import (
     build_time_dim,
     build_vehicle_dim,
     clean,
+    copy_limits,
     generate_claims,
+    may_broadcast,
+    natural_hot_keys,
     present,
     run_checks,
+    surrogate_hot_keys,
 )
 from starfold.plans.catalog import Gold
 from starfold.sources.delimited import read_csv
-from starfold.sources.tables import is_complete, read_note, read_optional, read_table, write_note, write_table
+from starfold.sources.tables import is_complete, read_note, read_optional, read_table, stored_rows, write_note, write_table
+from starfold.sources.versions import current_version, files_digest, input_digest, publish_version, version_paths
 
 DIMENSIONS = ("dim_time", "dim_location", "dim_vehicle", "dim_factor")
 LAYOUT = {
@@ -77,11 +86,15 @@ class Rules:
 class Lake:
     """Tables under ``root``. ``raw`` gives the untyped-to-typed input of the bronze layer.
 
-    ``table`` builds what is asked for, and what that needs, the first time.
-    Each table gets a build id, and a note of it, of the settings it was built by and of the
-    build ids of what it was built from. ``resume=True`` takes up a completely stored
+    ``table`` builds what is asked for, and what that needs, the first time; ``run`` and
+    ``gold`` publish what was built. Each table gets a build id and a note of it, of the settings it was built
+    by and of the build ids of what it was built from. ``resume=True`` takes up a completely stored
     table only when its note agrees with all of these, so what stands below a
-    rebuilt table is rebuilt too. ``source`` names the raw input; bronze is taken up when it is the same.
+    rebuilt table is rebuilt too.
+
+    ``source`` tells one raw input from another: a text, or a function that gives one. Without
+    it the files that ``raw`` reads count, by path, length and modification time; a ``raw`` that reads no
+    files is never taken up.
     """
 
     spark: SparkSession
@@ -92,43 +105,82 @@ class Lake:
     limits: Limits = LIMITS
     resume: bool = False
     rules: Rules = Rules()
-    source: str = ""
+    source: str | Callable[[], str] | None = None
     _built: dict[str, DataFrame] = field(default_factory=dict, repr=False)
-    _ids: dict[str, str] = field(default_factory=dict, repr=False)
+    _notes: dict[str, dict] = field(default_factory=dict, repr=False)
 
     @classmethod
     def from_csv(cls, spark: SparkSession, root: str, path: str | list[str], **options) -> Lake:
-        return cls(spark, root, lambda: read_csv(spark, path), source=json.dumps(path), **options)
+        return cls(spark, root, lambda: read_csv(spark, path), source=lambda: f"{json.dumps(path)} {files_digest(spark, path)}", **options)
+
+    def _under(self, place: str) -> str:
+        return f"{self.root.rstrip('/')}/{place}"
 
     def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{LAYOUT[name]}"
+        """Folder of the build of a table that this lake uses."""
+        self.table(name)
+        return self._notes[name]["path"]
+
+    def build_id(self, name: str) -> str:
+        self.table(name)
+        return self._notes[name]["id"]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._built:
-            path, inputs = self.path(name), {}
-            for needed in INPUTS[name]:
-                self.table(needed)
-                inputs[needed] = self._ids[needed]
+            inputs = {needed: self.build_id(needed) for needed in INPUTS[name]}
             wanted = {"settings": self._settings(name), "inputs": inputs}
             note = read_note(self.spark, self._note(name)) if self.resume else None
-            if note and is_complete(self.spark, path) and {k: note.get(k) for k in wanted} == wanted:
-                self._built[name], self._ids[name] = read_table(self.spark, path), note["id"]
+            if note and {k: note.get(k) for k in wanted} == wanted and is_complete(self.spark, note["path"]):
+                self._built[name] = read_table(self.spark, note["path"])
             else:
-                self._ids[name] = uuid.uuid4().hex
-                write_note(self.spark, self._note(name), {})  # until the table is whole, nothing vouches for it
-                self._built[name] = write_table(self._frame(name), path)
-                write_note(self.spark, self._note(name), {"id": self._ids[name], **wanted})
+                made = uuid.uuid4().hex
+                note = {"id": made, "path": self._under(f"{LAYOUT[name]}/{made}"), **wanted}
+                self._built[name] = write_table(self._frame(name), note["path"])
+                write_note(self.spark, self._note(name), note)
+            self._notes[name] = note
         return self._built[name]
 
+    def publish(self) -> None:
+        """Let readers see the tables built or taken up here, together with those published before that were built from them."""
+        before = (current_version(self.spark, self.root.rstrip("/")) or {}).get("tables", {})
+        tables = dict(self._notes)
+        for name in LAYOUT:
+            old = before.get(name)
+            if name not in tables and old and all(i in tables and tables[i]["id"] == key for i, key in old["inputs"].items()):
+                tables[name] = old
+        if tables != before:
+            publish_version(self.spark, self.root.rstrip("/"), {"tables": tables})
+
     def _note(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/_builds/{name}.json"
+        """Place of the note of the last whole build of a table, published or not."""
+        return self._under(f"_builds/{name}.json")
+
+    def hot_keys(self, limits: Limits | None = None) -> dict[str, list[int]]:
+        """Hot natural keys of silver, and hot row ids (``id``): found once by one profile, and kept beside the build of silver."""
+        silver, limits = self.table("silver"), limits or self.limits
+        wanted = copy_limits(self.spark, limits)
+        if stored_rows(silver) < wanted.hot_rows:
+            return {}  # too few rows for a hot key
+        place = self._under(f"_builds/hot-{self.build_id('silver')}-{wanted.hot_keys}-{wanted.hot_rows}.json")
+        kept = read_note(self.spark, place)
+        if kept is None:
+            kept = natural_hot_keys(silver, self.dims(), {"id": ["collision_id"]}, limits=wanted)
+            write_note(self.spark, place, kept)
+        return kept
+
+    def fact(self, *, null_safe: bool | None = None, limits: Limits | None = None) -> DataFrame:
+        """The fact, not stored, from the stored silver and dimensions, by the hot keys kept with silver."""
+        limits, dims = limits or self.limits, self.dims()
+        every = all(may_broadcast(dim, dim.columns, limits) for dim in dims.values())
+        hot = {} if every else self.hot_keys(limits)
+        return build_fact(self.table("silver"), dims, null_safe=self.null_safe if null_safe is None else null_safe, hot=hot, limits=limits)
 
     def _settings(self, name: str) -> str:
         """Digest of the settings that decide the content of a table."""
         r = self.rules
         keys = {"bands": r.bands, "last": r.last_band, "vehicles": r.vehicles, "factors": r.factors, "default": r.factor_default}
         own = {
-            "bronze": self.source,
+            "bronze": self._source() if name == "bronze" else "",
             "silver": asdict(r.clean),
             "dim_time": [keys["bands"], keys["last"], r.key_type],
             "dim_location": r.key_type,
@@ -140,6 +192,13 @@ class Lake:
         }[name]
         return hashlib.sha256(json.dumps(own, sort_keys=True, default=str).encode()).hexdigest()
 
+    def _source(self) -> str:
+        """What tells this raw input from another; without anything to tell it by, a value that no other build has."""
+        given = self.source() if callable(self.source) else self.source
+        if given is None:
+            given = input_digest(self.raw())
+        return uuid.uuid4().hex if given is None else given
+
     def _frame(self, name: str) -> DataFrame:
         if name == "bronze":
             return self.raw()
@@ -156,53 +215,57 @@ class Lake:
                 return build_vehicle_dim(silver, r.vehicles, **common)
             return build_factor_dim(silver, r.factors, r.factor_default, **common)
         if name == "fact_collisions":
-            return build_fact(self.table("silver"), self.dims(), null_safe=self.null_safe, limits=self.limits)
+            return self.fact()
+        fact, hot = self.table("fact_collisions"), self.hot_keys()
         if name == "fact_claims":
-            return generate_claims(self.table("fact_collisions"), self.seed, self.rules.claims, limits=self.limits)
-        return present(self.table("fact_collisions"), self.dims(), limits=self.limits)
+            return generate_claims(fact, self.seed, self.rules.claims, hot=hot.get("id", []), limits=self.limits)
+        return present(fact, self.dims(), hot=surrogate_hot_keys(hot, self.dims()), limits=self.limits)
 
     def dims(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in DIMENSIONS}
 
     def gold(self, *, claims: bool = True) -> Gold:
-        """The star schema; without claims those queries are simply not available."""
-        return Gold(
+        """The star schema, published; without claims those queries are simply not available."""
+        made = Gold(
             self.table("fact_collisions"),
             *self.dims().values(),
             self.table("fact_claims") if claims else None,
             self.limits,
         )
+        self.publish()
+        return made
 
     def checks(self, *, claims: bool = True) -> DataFrame:
         """The quality checks over silver and gold."""
         return run_checks({"silver": self.table("silver"), **self.gold(claims=claims).tables()})
 
     def run(self) -> DataFrame:
-        """Build every layer in order, then return the quality checks."""
+        """Build every layer in order, publish them, then return the quality checks."""
         for name in LAYOUT:
             self.table(name)
         return self.checks()
 
 
-def open_gold(spark: SparkSession, root: str, limits: Limits = LIMITS) -> Gold:
-    """The star schema stored under ``root``.
+def _published(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folders of the current version; of a folder without versions, the plain ones."""
+    root = root.rstrip("/")
+    content = current_version(spark, root)
+    return version_paths(content) if content else {name: f"{root}/{place}" for name, place in LAYOUT.items()}
 
-    ``fact_claims`` may be absent. Claims made from another build of the fact, by the notes
-    beside the tables, count as absent.
-    """
 
-    def at(name: str) -> str:
-        return f"{root.rstrip('/')}/{LAYOUT[name]}"
+def open_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One table of the version published under ``root``."""
+    paths = _published(spark, root)
+    if name not in paths:
+        raise LookupError(f"{name} is not in the version published under {root}")
+    return read_table(spark, paths[name])
 
-    return Gold(
-        spark.read.parquet(at("fact_collisions")),
-        *[spark.read.parquet(at(name)) for name in DIMENSIONS],
-        None if _stale_claims(spark, root) else read_optional(spark, at("fact_claims")),
-        limits,
-    )
 
+def open_gold(spark: SparkSession, root: str, limits: Limits = LIMITS) -> Gold:
+    """The star schema published under ``root``, all of one version.
 
-def _stale_claims(spark: SparkSession, root: str) -> bool:
-    """Whether notes tell that the stored claims belong to another fact. Tables without notes are taken as they are."""
-    fact, claims = (read_note(spark, f"{root.rstrip('/')}/_builds/{name}.json") for name in ("fact_collisions", "fact_claims"))
-    return bool(fact) and claims is not None and claims.get("inputs", {}).get("fact_collisions") != fact.get("id")
+    ``fact_claims`` may be absent: claims made from another build of the fact are not in the version.
+    """
+    paths = _published(spark, root)
+    claims = read_optional(spark, paths["fact_claims"]) if "fact_claims" in paths else None
+    return Gold(*[read_table(spark, paths[name]) for name in ("fact_collisions", *DIMENSIONS)], claims, limits)

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # call sites in error messages cost a stack trace for every column expression a plan is made of
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

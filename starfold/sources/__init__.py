@@ -8,6 +8,7 @@ from starfold.sources.tables import (
     read_optional,
     read_table,
     register_views,
+    schema_rows,
     scratch_dir,
     stage,
     stored_rows,
@@ -15,21 +16,29 @@ from starfold.sources.tables import (
     union_all,
     write_table,
 )
+from starfold.sources.versions import current_version, expire_versions, files_digest, input_digest, publish_version, version_paths
 
 __all__ = [
+    "current_version",
+    "expire_versions",
+    "files_digest",
     "fits",
+    "input_digest",
     "inspect",
     "is_complete",
+    "publish_version",
     "read_csv",
     "read_dictionary",
     "read_optional",
     "read_table",
     "register_views",
+    "schema_rows",
     "scratch_dir",
     "stage",
     "stored_rows",
     "to_pandas",
     "union_all",
+    "version_paths",
     "write_csv",
     "write_table",
 ]

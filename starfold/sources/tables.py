@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from weakref import WeakKeyDictionary
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -36,16 +37,22 @@ def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def store_of(spark: SparkSession, path: str):
+    """A path and the store it lies in, as the cluster's file systems have them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was committed; one cut short leaves no success marker."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    marker, store = store_of(spark, f"{path}/_SUCCESS")
+    return store.exists(marker)
 
 
 def write_note(spark: SparkSession, path: str, content: dict) -> None:
     """Overwrite a small JSON file in the store of the tables."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    at, store = store_of(spark, path)
+    out = store.create(at, True)
     try:
         out.write(bytearray(json.dumps(content).encode()))
     finally:
@@ -54,8 +61,7 @@ def write_note(spark: SparkSession, path: str, content: dict) -> None:
 
 def read_note(spark: SparkSession, path: str) -> dict | None:
     """What ``write_note`` stored, or None when there is no such file."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    at, store = store_of(spark, path)
     if not store.exists(at):
         return None
     source = store.open(at)
@@ -123,15 +129,29 @@ def fits(df: DataFrame, rows: int) -> bool:
     return stored_rows(df) <= rows
 
 
+def schema_rows(df: DataFrame) -> DataFrame:
+    """The columns of a table as rows: position (from 1), name, type, nullable."""
+    fields = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(fields, "position int, name string, type string, nullable boolean")
+
+
 def inspect(df: DataFrame, rows: int = 20) -> None:
     """Print schema and first rows."""
     df.printSchema()
     df.show(rows, truncate=False)
 
 
-def to_pandas(df: DataFrame, limit: int):
-    """Collect at most ``limit`` rows to the driver; the bound has to be stated."""
-    return df.limit(limit).toPandas()
+def to_pandas(df: DataFrame, limit: int, order: Sequence[str | Column] = ()):
+    """Collect at most ``limit`` rows to the driver; the bound has to be stated.
+
+    With ``order`` they are the first rows in that order, ties broken by the other
+    columns (ascending, NULLs first), so which rows come is determined; at most ``limit``
+    rows a task are kept while sorting. Without it any rows may come.
+    """
+    if not order:
+        return df.limit(limit).toPandas()
+    ties = [F.col("`" + c.replace("`", "``") + "`").asc_nulls_first() for c, kind in df.dtypes if not kind.startswith("map")]
+    return df.orderBy(*order, *ties).limit(limit).toPandas()
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

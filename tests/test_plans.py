@@ -1,14 +1,18 @@
 """Catalogue, reports and the pipeline end to end."""
 
 import dataclasses
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from starfold import CATALOG, REPORTS, Lake, Limits, exit_code, open_gold, read_table, run_catalog, summarize, write_csv
+from starfold import CATALOG, REPORTS, Lake, Limits, exit_code, hot_hashes, natural_hot_keys, open_gold, open_table
+from starfold import read_table, run_catalog, summarize, surrogate_hot_keys, write_csv
 from starfold.__main__ import main
-from starfold.operators import CleanSpec
+from starfold.operators import CleanSpec, skew
 from starfold.plans.pipeline import DIMENSIONS, LAYOUT, Rules
 from starfold.rules import Bounds, ClaimRules
+from starfold.sources import current_version, expire_versions
 from verification.binding import raw_collisions
 
 SF = "/root/testdata/sf0.001"
@@ -24,6 +28,10 @@ def lake(spark, tmp_path_factory):
     return made
 
 
+def ids(made):
+    return {name: made.build_id(name) for name in LAYOUT}
+
+
 @pytest.fixture(scope="module")
 def gold(spark, lake):
     return open_gold(spark, lake.root)
@@ -31,7 +39,8 @@ def gold(spark, lake):
 
 def test_every_layer_is_stored(spark, lake):
     for name, place in LAYOUT.items():
-        assert read_table(spark, f"{lake.root}/{place}").count() == lake.table(name).count() > 0
+        assert lake.path(name) == f"{lake.root}/{place}/{lake.build_id(name)}"
+        assert open_table(spark, lake.root, name).count() == read_table(spark, lake.path(name)).count() == lake.table(name).count() > 0
 
 
 def test_csv_and_table_input_give_the_same_gold(spark, lake, tmp_path, rows):
@@ -46,17 +55,16 @@ def test_resume_takes_up_stored_tables(spark, lake):
 
     again = Lake(spark, lake.root, fail, resume=True, source=lake.source)
     again.run()
-    assert again._ids == lake._ids  # nothing was built anew
+    assert ids(again) == ids(lake)  # nothing was built anew
     assert again.table("fact_collisions").count() == lake.table("fact_collisions").count()
 
 
 def test_resume_rebuilds_a_table_cut_short(spark, tmp_path):
     first = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF))
     rows = first.table("bronze").count()
-    marker = tmp_path / LAYOUT["bronze"] / "_SUCCESS"
-    marker.unlink()
+    Path(first.path("bronze"), "_SUCCESS").unlink()
     again = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF).limit(10), resume=True)
-    assert again.table("bronze").count() == 10 < rows and marker.exists()
+    assert again.table("bronze").count() == 10 < rows and Path(again.path("bronze"), "_SUCCESS").exists()
 
 
 def test_resume_knows_what_a_table_was_built_from(spark, tmp_path):
@@ -66,7 +74,7 @@ def test_resume_knows_what_a_table_was_built_from(spark, tmp_path):
         return made
 
     def kept(a, b):
-        return {name for name in LAYOUT if a._ids[name] == b._ids[name]}
+        return {name for name in LAYOUT if ids(a)[name] == ids(b)[name]}
 
     first = at()
     assert kept(first, at()) == set(LAYOUT)
@@ -74,16 +82,145 @@ def test_resume_knows_what_a_table_was_built_from(spark, tmp_path):
     assert kept(first, seeded) == set(LAYOUT) - {"fact_claims"}
     safe = at(seed="other", null_safe=True)
     assert kept(seeded, safe) == {"bronze", "silver", *DIMENSIONS}
-    (tmp_path / LAYOUT["bronze"] / "_SUCCESS").unlink()
+    Path(safe.path("bronze"), "_SUCCESS").unlink()
     few = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF).limit(100), resume=True, seed="third", null_safe=True)
     few.run()
     assert kept(safe, few) == set()
     assert few.table("silver").count() == few.table("fact_collisions").count() <= 100
     assert open_gold(spark, str(tmp_path)).fact_claims is not None
-    Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF)).table("fact_collisions")  # without claims
+    Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF)).gold(claims=False)
     assert open_gold(spark, str(tmp_path)).fact_claims is None
 
 
+def counts(spark, root):
+    """What a reader sees: rows of every published table, all read."""
+    return {name: open_table(spark, root, name).count() for name in current_version(spark, root)["tables"]}
+
+
+@pytest.mark.parametrize("layer", LAYOUT)
+def test_a_build_that_dies_in_any_layer_leaves_the_lake_as_it_was(spark, lake, monkeypatch, layer):
+    before, seen = counts(spark, lake.root), []
+    original = Lake._frame
+
+    def frame(made, name):
+        seen.append(counts(spark, lake.root))  # a reader between two layers
+        made_frame = original(made, name)
+        if name == layer:
+            bad = made_frame.columns[0]
+            return made_frame.withColumn(bad, F.raise_error("killed").cast(made_frame.schema[bad].dataType))
+        return made_frame
+
+    monkeypatch.setattr(Lake, "_frame", frame)
+    with pytest.raises(Exception, match="killed"):
+        Lake(spark, lake.root, lambda: raw_collisions(spark, SF).limit(50), null_safe=True).run()
+    assert all(s == before for s in [*seen, counts(spark, lake.root)]) and len(seen) == list(LAYOUT).index(layer) + 1
+    assert CATALOG["q19_summary"](open_gold(spark, lake.root)).count() == 6
+
+
+def test_a_version_holds_tables_of_one_line_of_builds(spark, tmp_path):
+    root = str(tmp_path)
+    Lake(spark, root, lambda: raw_collisions(spark, SF)).run()
+    assert set(current_version(spark, root)["tables"]) == set(LAYOUT)
+    Lake(spark, root, lambda: raw_collisions(spark, SF), resume=True, seed="x").gold()  # claims alone are new
+    assert set(current_version(spark, root)["tables"]) == set(LAYOUT)
+    Lake(spark, root, lambda: raw_collisions(spark, SF), resume=True, null_safe=True).gold(claims=False)
+    assert set(current_version(spark, root)["tables"]) == set(LAYOUT) - {"fact_claims", "presentation"}
+    with pytest.raises(LookupError, match="presentation"):
+        open_table(spark, root, "presentation")
+    builds = sorted(p.name for p in (tmp_path / LAYOUT["fact_collisions"]).iterdir())
+    assert len(builds) == 2
+    gone = expire_versions(spark, root, keep=1)
+    assert len(gone) == 4 and not any(Path(p).exists() for p in gone)  # a fact, a view, both claims
+    assert open_gold(spark, root).fact_collisions.count() > 0
+    with pytest.raises(ValueError):
+        expire_versions(spark, root, keep=0)
+    assert expire_versions(spark, root) == []
+
+
+def test_resume_notices_new_and_changed_files(spark, tmp_path):
+    root, landing = str(tmp_path / "tables"), tmp_path / "landing"
+    raw = raw_collisions(spark, SF)
+    parts = [raw.filter(F.crc32(F.coalesce("CRASH TIME", F.lit("")).cast("binary")) % 3 == i) for i in range(3)]
+
+    def built():
+        made = Lake.from_csv(spark, root, f"{landing}/*", resume=True)
+        made.gold()
+        return made.table("bronze").count(), open_gold(spark, root).fact_collisions.count(), made.build_id("fact_collisions")
+
+    write_csv(parts[0], str(landing / "a"))
+    first = built()
+    assert built() == first
+    write_csv(parts[1], str(landing / "b"))
+    second = built()
+    assert second[0] == first[0] + parts[1].count() and second[1] > first[1] and second[2] != first[2]
+    assert built() == second
+    write_csv(parts[2], str(landing / "b"))  # the same names may come back with other content
+    third = built()
+    assert third[0] == first[0] + parts[2].count() and third[2] != second[2]
+
+
+def test_resume_of_any_raw_input(spark, tmp_path):
+    table = str(tmp_path / "odd [1] name")
+    raw_collisions(spark, SF).limit(300).write.parquet(table)
+
+    def bronze(raw, **options):
+        made = Lake(spark, str(tmp_path / "lake"), raw, resume=True, **options)
+        return made.table("bronze").count(), made.build_id("bronze")
+
+    def stored():
+        return spark.read.parquet(table.replace("[", "\\[").replace("]", "\\]"))
+
+    first = bronze(stored)
+    assert bronze(stored) == first and first[0] == 300
+    raw_collisions(spark, SF).limit(20).write.mode("append").parquet(table)
+    second = bronze(stored)
+    assert second[0] == 320 and second[1] != first[1]
+    rows, schema = raw_collisions(spark, SF).limit(5).collect(), raw_collisions(spark, SF).schema
+    local = lambda: spark.createDataFrame(rows, schema)  # noqa: E731  reads no files: never taken up
+    assert bronze(local)[1] != bronze(local)[1]
+    assert bronze(local, source="v1") == bronze(local, source="v1") != bronze(local, source="v2")
+
+
+def test_one_profile_of_silver_serves_fact_view_and_claims(spark, tmp_path, monkeypatch):
+    profiles = []
+    original = skew.stage
+    monkeypatch.setattr(skew, "stage", lambda df, label: profiles.append(label) or original(df, label))
+    limits = Limits(broadcast_rows=0, hot_keys=64, hot_rows=10)
+    made = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF), limits=limits)
+    made.run()
+    made.fact(null_safe=True)
+    assert profiles == ["hot-keys"]
+    again = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF), limits=limits, resume=True, seed="other")
+    assert again.table("fact_claims").count() > 0 and profiles == ["hot-keys"]
+    plain = Lake(spark, str(tmp_path / "plain"), lambda: raw_collisions(spark, SF))
+    for name in ("fact_collisions", "presentation", "fact_claims"):
+        assert made.table(name).exceptAll(plain.table(name)).isEmpty() and plain.table(name).exceptAll(made.table(name)).isEmpty()
+
+
+def test_hot_surrogate_keys_follow_from_hot_natural_keys(spark, lake):
+    limits = Limits(broadcast_rows=0, hot_keys=64, hot_rows=10)
+    hot = surrogate_hot_keys(natural_hot_keys(lake.table("silver"), lake.dims(), limits=limits), lake.dims())
+    own = hot_hashes(lake.table("fact_collisions"), {key: [key] for key in hot}, limits)
+    null = spark.range(1).select(skew.key_hash([F.lit(None).cast("int")])).first()[0]
+    assert {k: set(v) for k, v in hot.items()} == {k: set(v) - {null} for k, v in own.items()} and any(hot.values())
+
+
+@pytest.mark.parametrize("name", ["q01_hotspots_location", "q02_hotspots_borough", "q07_claims_borough", "q08_claims_borough_severity", "r05_claims_borough"])
+def test_a_dimension_of_few_rows_and_many_bytes_is_not_broadcast(spark, gold, monkeypatch, name):
+    """Under the row limit and over the byte limit: neither rollup nor lookup sends it to all tasks."""
+    query = {**CATALOG, **REPORTS}[name]
+    sent = []
+    original = F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: sent.append(df.columns) or original(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = query(dataclasses.replace(gold, limits=Limits(broadcast_bytes=10)))
+        assert sent == [] and "BroadcastHashJoin" not in plan._jdf.queryExecution().executedPlan().toString()
+        assert query(gold).exceptAll(plan).isEmpty() and sent
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rules_reach_the_layers(spark, tmp_path):
     rules = Rules(
         clean=CleanSpec(bounds=Bounds(40.6, 40.8, -74.1, -73.9), casualties=()),
@@ -126,6 +263,7 @@ def test_command_line(spark, lake, tmp_path, capsys):
     assert "times" in capsys.readouterr().out
     assert main(["inspect", str(tmp_path), "silver"]) == 0
     assert "collision_id" in capsys.readouterr().out
+    assert main(["expire", str(tmp_path), "--keep", "1"]) == 0
 
 
 def test_checks_of_the_pipeline(lake):

@@ -3,10 +3,11 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from starfold import clean, read_csv, read_dictionary, read_optional, write_csv, write_table
 from starfold.rules import RAW_FIELDS
-from starfold.sources import scratch_dir, stage, to_pandas
+from starfold.sources import current_version, publish_version, schema_rows, scratch_dir, stage, to_pandas, version_paths
 
 FIELDS = [("A", "string"), ("N", "int"), ("X", "double")]
 
@@ -93,3 +94,28 @@ def test_shared_folder_unset():
 
 def test_bounded_collect(spark):
     assert len(to_pandas(spark.range(100), 7)) == 7
+
+
+def test_bounded_collect_is_determined_at_a_tie(spark):
+    rows = spark.createDataFrame([(i % 2, i, None if i == 5 else i * 10) for i in range(8)], "a int, `b.c` int, a1 int")
+    for parts in (1, 5):
+        got = to_pandas(rows.repartition(parts), 3, [F.desc("a")])
+        assert got["b.c"].tolist() == [1, 3, 5]
+    assert to_pandas(rows, 0, ["a"]).empty and len(to_pandas(rows, 99, ["a"])) == 8
+
+
+def test_schema_as_rows(spark):
+    df = spark.createDataFrame([(1, [2.0], {"k": "v"})], "a int, `b c` array<double>, m map<string,string>")
+    assert [tuple(r) for r in schema_rows(df).orderBy("position").collect()] == [
+        (1, "a", "int", True), (2, "b c", "array<double>", True), (3, "m", "map<string,string>", True),
+    ]
+
+
+def test_versions(spark, tmp_path):
+    root = str(tmp_path)
+    assert current_version(spark, root) is None
+    assert publish_version(spark, root, {"tables": {"t": {"path": "a"}}}) == 1
+    (tmp_path / "_versions" / "000000000002.claim").touch()  # a writer that died, or is slow
+    assert publish_version(spark, root, {"tables": {"t": {"path": "b"}}}) == 3
+    (tmp_path / "_versions" / "_half").write_text('{"tables": ')
+    assert version_paths(current_version(spark, root)) == {"t": "b"}

@@ -20,6 +20,7 @@ from starfold.rules import (
     VEHICLE_RULES,
 )
 from verification.binding import FACTORS, VEHICLES
+from verification.registry import GOLD_SQL, INSPECTED
 
 
 def _list(values: tuple[str, ...]) -> str:
@@ -189,6 +190,12 @@ def _gold(select: str) -> str:
     return _with("claims", select)
 
 
+def _gold_relations() -> str:
+    names = {"fact_collisions": "fact", **{name: name for name in ("dim_time", "dim_location", "dim_vehicle", "dim_factor")}}
+    counts = (f"""SELECT '{view}' AS relation, count(*) AS "rows" FROM {table}""" for view, table in names.items())
+    return _with("fact", " UNION ALL ".join(counts))
+
+
 _CASUALTY = (
     "count(collision_id) AS collision_count, CAST(sum(persons_injured) AS BIGINT) AS total_injured, "
     "CAST(sum(persons_killed) AS BIGINT) AS total_killed"
@@ -485,6 +492,20 @@ UNION ALL SELECT 'Total Claims', format('{{:,}}', count(*)) FROM claims
 UNION ALL SELECT 'Total Claim Amount', {_dollars(_SUM_AMOUNT)} FROM claims
 UNION ALL SELECT 'Avg Claim Amount', {_dollars(_AVG_AMOUNT)} FROM claims"""
     ),
+    # readers see the rows with a time of day until the second folder of files is taken up
+    "lake_versions": _with(
+        "dated",
+        """SELECT step, CASE WHEN late THEN n ELSE timed END AS silver_rows, CASE WHEN late THEN n ELSE timed END AS fact_rows,
+  rebuilt::BIGINT AS rebuilt FROM (SELECT count(*) AS n, count("CRASH TIME") AS timed FROM dated WHERE crash_date IS NOT NULL AND usable),
+  (VALUES ('1 built', false, 8), ('2 broken off', false, 0), ('3 resumed', true, 8), ('4 unchanged', true, 0)) AS v(step, late, rebuilt)""",
+    ),
+    **{name: _gold_relations() for name in ("gold_without_claims", "gold_stale_claims")},
+    "gold_sql": _gold(GOLD_SQL.replace("fact_collisions", "fact").replace("fact_claims", "claims")),
+    "table_schemas": f"""SELECT table_name AS "table", ordinal_position AS position, column_name AS name,
+  CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS type,
+  true AS nullable FROM information_schema.columns WHERE table_name IN {INSPECTED}""",
+    "bounded_collect": """SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
+  ORDER BY 3, 1, 2 LIMIT 100""",
     "tpch_star_fact": """SELECT o_orderkey, o_custkey, o_totalprice, c_mktsegment AS segment, n_name AS nation, r_name AS region
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
     LEFT JOIN region ON n_regionkey = r_regionkey""",

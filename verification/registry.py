@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,6 @@ from starfold.functions import calendar_columns
 from starfold.operators import (
     Limits,
     build_code_dim,
-    build_fact,
     build_location_dim,
     build_time_dim,
     claims_by_severity,
@@ -30,8 +31,9 @@ from starfold.operators import (
     with_share,
 )
 from starfold.operators.rollup import Measure
-from starfold.plans import CATALOG, REPORTS, Lake
-from starfold.sources import read_csv, scratch_dir, stage, write_csv
+from starfold.plans import CATALOG, REPORTS, Gold, Lake, open_gold, open_table
+from starfold.plans.pipeline import Rules
+from starfold.sources import current_version, read_csv, schema_rows, scratch_dir, stage, to_pandas, union_all, write_csv
 from verification.binding import load, raw_collisions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,8 +80,7 @@ def dim_key_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_collisions_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = lake(spark, sf_dir)
-    return build_fact(built.table("silver"), built.dims(), null_safe=True)
+    return lake(spark, sf_dir).fact(null_safe=True)
 
 
 def present_view_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,9 +89,8 @@ def present_view_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_collisions_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact by the plan for dimensions too large to broadcast."""
-    built = lake(spark, sf_dir)
-    return build_fact(built.table("silver"), built.dims(), limits=Limits(broadcast_rows=0, hot_keys=64, hot_rows=10))
+    """The fact by the plan for dimensions too large to broadcast; hot keys are kept with silver."""
+    return lake(spark, sf_dir).fact(limits=Limits(broadcast_rows=0, hot_keys=64, hot_rows=10))
 
 
 def dim_location_large(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +127,92 @@ def _report(name: str) -> Query:
     return lambda spark, sf_dir: REPORTS[name](lake(spark, sf_dir).gold())
 
 
+# --- stored lakes, views, inspection ----------------------------------------------
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/starfold/lake-{uuid.uuid4().hex}"
+
+
+def lake_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake over CSV files as its readers see it: built, a rebuild that fails half-way, new files taken up, nothing new.
+
+    ``rebuilt`` counts the tables that the published version has from another build than before.
+    """
+    root, raw = _root(spark), raw_collisions(spark, sf_dir)
+    timed = F.col("CRASH TIME").isNotNull()
+    broken = Rules(factors=(("(", "no regular expression"),))
+    write_csv(raw.filter(timed), f"{root}/landing/first")
+    seen, rows = {}, []
+    for step, rules in (("1 built", Rules()), ("2 broken off", broken), ("3 resumed", Rules()), ("4 unchanged", Rules())):
+        if rules is broken:
+            write_csv(raw.filter(~timed), f"{root}/landing/second")
+        try:
+            Lake.from_csv(spark, f"{root}/tables", f"{root}/landing/*", resume=True, rules=rules).gold()
+        except (PySparkException, Py4JError):
+            if rules is not broken:
+                raise
+        tables = current_version(spark, f"{root}/tables")["tables"]
+        gold = open_gold(spark, f"{root}/tables")
+        builds = {name: table["id"] for name, table in tables.items()}
+        changed = sum(seen.get(name) != key for name, key in builds.items())
+        rows.append((step, open_table(spark, f"{root}/tables", "silver").count(), gold.fact_collisions.count(), changed))
+        seen = builds
+    return spark.createDataFrame(rows, "step string, silver_rows long, fact_rows long, rebuilt long")
+
+
+def _relations(gold: Gold) -> DataFrame:
+    """Registered relation names and their rows, counted by SQL."""
+    spark = gold.fact_collisions.sparkSession
+    return union_all(spark.sql(f"SELECT '{name}' AS relation, count(*) AS rows FROM {name}") for name in gold.register())
+
+
+def gold_without_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relations of a stored star schema whose claims were never built."""
+    root = _root(spark)
+    Lake(spark, root, lambda: raw_collisions(spark, sf_dir)).gold(claims=False)
+    return _relations(open_gold(spark, root))
+
+
+def gold_stale_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relations of a stored star schema whose claims were made from another build of the fact."""
+    root = _root(spark)
+    Lake(spark, root, lambda: raw_collisions(spark, sf_dir)).gold()
+    Lake(spark, root, lambda: raw_collisions(spark, sf_dir), resume=True, null_safe=True).gold(claims=False)
+    return _relations(open_gold(spark, root))
+
+
+GOLD_SQL = """SELECT d.is_weekend, f.severity_category, count(*) AS collisions, count(DISTINCT f.location_key) AS places,
+  CAST(sum(c.claims) AS BIGINT) AS claims, CAST(sum(c.amount) AS DOUBLE) AS amount
+FROM fact_collisions f JOIN dim_time d ON f.time_key = d.time_key
+  LEFT JOIN (SELECT collision_id, count(*) AS claims, sum(CAST(claim_amount AS DECIMAL(18,2))) AS amount
+    FROM fact_claims GROUP BY collision_id) c ON f.collision_id = c.collision_id
+GROUP BY d.is_weekend, f.severity_category"""
+
+
+def gold_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over the registered views."""
+    lake(spark, sf_dir).gold().register()
+    return spark.sql(GOLD_SQL)
+
+
+INSPECTED = ("orders", "lineitem", "events", "documents", "labels")
+
+
+def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the stored tables as rows."""
+    return union_all(
+        schema_rows(load(spark, sf_dir, name)).select(F.lit(name).alias("table"), "position", "name", "type", "nullable")
+        for name in INSPECTED
+    )
+
+
+def bounded_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 100 orders by date, collected; a date shared across the cut is ordered by the other columns."""
+    orders = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    return spark.createDataFrame(to_pandas(orders, 100, ["o_orderdate"]), orders.schema)
+
+
 # --- the operators on other tables ----------------------------------------------
 
 
@@ -223,6 +309,12 @@ QUERIES: dict[str, Query] = {
     "k_checks_without_claims": k_checks_without_claims,
     "k_summary": k_summary,
     **{name: _report(name) for name in REPORTS},
+    "lake_versions": lake_versions,
+    "gold_without_claims": gold_without_claims,
+    "gold_stale_claims": gold_stale_claims,
+    "gold_sql": gold_sql,
+    "table_schemas": table_schemas,
+    "bounded_collect": bounded_collect,
     "tpch_star_fact": tpch_star_fact,
     "tpch_code_dim": tpch_code_dim,
     "events_calendar_dim": events_calendar_dim,
