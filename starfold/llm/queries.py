@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starfold.llm.alignment import align_tokenizers
 from starfold.llm.byte_bpe import decimal_ids, decode_documents, encode_documents
 from starfold.llm.common import fresh_path, load
 from starfold.llm.exact_dedup import exact_dedup
@@ -89,10 +90,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned by bytes, with the corpus-wide counts of the linked pairs."""
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = align_tokenizers(load(spark, sf_dir, "documents"), *files, digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_substring_dedup, op3_byte_bpe, op4_warc, op5_best_fit_packing, op6_quality,
-        op7_exact_top_k, op8_jaccard_join, op9_exact_dedup, op10_language_id,
+        op7_exact_top_k, op8_jaccard_join, op9_exact_dedup, op10_language_id, op13_alignment,
     )
 }
