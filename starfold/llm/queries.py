@@ -15,6 +15,7 @@ from starfold.llm.exact_dedup import exact_dedup
 from starfold.llm.jaccard_join import similarity_classes
 from starfold.llm.language import predict_language
 from starfold.llm.packing import encode_pieces, pack_documents
+from starfold.llm.periodic_runs import periodic_runs
 from starfold.llm.quality import quality_scores
 from starfold.llm.substring_dedup import remove_repeats
 from starfold.llm.token_files import read_documents, write_token_files
@@ -90,6 +91,33 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the hash of its id repeats a block of its own words from some word on."""
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = docs.select("doc_id", "text", (hashed / 10).cast("long").alias("g"), F.when(hashed % 10 == 0, words).alias("w"))
+    n = F.size("w")  # -1 or null for documents that stay
+    placed = split.select("*", F.when(n > 0, F.pmod("g", n).cast("int")).alias("a"))
+    block = F.lit(1) + ((n - F.col("a")) / (3 + F.col("g") % 8)).cast("int")
+    turns = ((n - F.col("a")) / block).cast("int") + 1
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, block), turns)), F.lit(1), n - F.col("a"))
+    whole = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), tail)
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), whole).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least six words and four periods, the longest of each document, and the words that they leave."""
+    found = periodic_runs(_with_periods(load(spark, sf_dir, "documents")), length=6, exponent=4)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    told = found.select("*", best.alias("best"))
+    return told.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"), F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers aligned by bytes, with the corpus-wide counts of the linked pairs."""
     files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -101,6 +129,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_substring_dedup, op3_byte_bpe, op4_warc, op5_best_fit_packing, op6_quality,
-        op7_exact_top_k, op8_jaccard_join, op9_exact_dedup, op10_language_id, op13_alignment,
+        op7_exact_top_k, op8_jaccard_join, op9_exact_dedup, op10_language_id, op12_periodic_runs, op13_alignment,
     )
 }
