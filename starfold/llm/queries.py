@@ -15,6 +15,7 @@ from starfold.llm.exact_dedup import exact_dedup
 from starfold.llm.jaccard_join import similarity_classes
 from starfold.llm.language import predict_language
 from starfold.llm.packing import encode_pieces, pack_documents
+from starfold.llm.pii import KINDS, as_text, personal_data
 from starfold.llm.periodic_runs import periodic_runs
 from starfold.llm.quality import quality_scores
 from starfold.llm.substring_dedup import remove_repeats
@@ -91,6 +92,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of fixed form, and what its contexts tell besides."""
+    found = personal_data(load(spark, sf_dir, "documents"))
+    counts = [F.expr(f"size(filter(base, s -> s.kind = {k}))").cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(as_text("base").cast("binary"), 256).alias("base_sha256"), as_text("spans").alias("spans"))
+
+
 def _with_periods(docs: DataFrame) -> DataFrame:
     """Every tenth document by the hash of its id repeats a block of its own words from some word on."""
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
@@ -129,6 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_substring_dedup, op3_byte_bpe, op4_warc, op5_best_fit_packing, op6_quality,
-        op7_exact_top_k, op8_jaccard_join, op9_exact_dedup, op10_language_id, op12_periodic_runs, op13_alignment,
+        op7_exact_top_k, op8_jaccard_join, op9_exact_dedup, op10_language_id, op11_pii, op12_periodic_runs, op13_alignment,
     )
 }
