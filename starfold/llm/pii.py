@@ -216,7 +216,7 @@ def trusted_patterns(counts: DataFrame, gained: DataFrame | None, support: float
 
 
 def bootstrap(edges: DataFrame, support: float = 3, trust: float = 0.5, accept: float = 0.8, rounds: int = 6) -> DataFrame:
-    """(instance, kind, score) of accepted candidates, from a stored table of distinct edges (pattern, instance, seed, kinds)."""
+    """(instance, kind, score) of accepted candidates, from a stored table of edges, distinct by (pattern, instance, seed), with their kinds."""
     spark = edges.sparkSession
     seeds = [F.count_if(F.col("seed") == k).alias(f"seeds_{k}") for k in range(len(KINDS))]
     counts = write_table(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *seeds), fresh_path(spark, "patterns"))
@@ -225,7 +225,7 @@ def bootstrap(edges: DataFrame, support: float = 3, trust: float = 0.5, accept:
     met = free.select("instance", "kinds").distinct().join(
         edges.filter("seed >= 0").select("instance", F.col("seed").alias("kind")).distinct(), "instance"
     )
-    same = met.filter(fits).select("instance", "kind", F.lit(1.0).alias("score"))
+    same = met.filter(fits).select("instance", "kind", F.lit(1.0).alias("score")).distinct()
     accepted = same = write_table(same, fresh_path(spark, "accepted"))
     state = None
     for _ in range(rounds):
@@ -251,7 +251,7 @@ def personal_data(
     """(key, base, spans): fixed forms, and all spans, as arrays of (kind, start, end) by kind, then start. ``KINDS`` names the kinds."""
     spark = docs.sparkSession
     found = write_table(find_spans(docs, key, text), fresh_path(spark, "spans"))
-    edges = found.select(F.explode("edges").alias("e")).select("e.*").distinct()
+    edges = found.select(F.explode("edges").alias("e")).groupBy("e.pattern", "e.instance", "e.seed").agg(F.bit_or("e.kinds").alias("kinds"))
     accepted = bootstrap(write_table(edges, fresh_path(spark, "edges")), support, trust, accept, rounds)
     best = accepted.groupBy("instance").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
     best = write_table(best, fresh_path(spark, "kinds"))
