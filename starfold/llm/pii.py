@@ -210,7 +210,7 @@ def trusted_patterns(counts: DataFrame, gained: DataFrame | None, support: float
     known = counts.select("pattern", "n", F.explode(by_kind).alias("e")).select("pattern", "n", "e.*").filter("known > 0")
     if gained is not None:
         known = known.unionByName(gained.join(counts.select("pattern", "n"), "pattern").select("pattern", "n", "kind", "known"))
-        known = known.groupBy("pattern", "kind").agg(F.max("n").alias("n"), F.sum("known").alias("known"))
+        known = known.groupBy("pattern", "kind").agg(F.max("n").alias("n"), F.round(F.sum("known"), DIGITS).alias("known"))
     scored = known.filter(F.col("known") >= support).select("pattern", "kind", F.round(F.col("known") / (F.col("n") + 1), DIGITS).alias("score"))
     return scored.filter(F.col("score") >= trust)
 
