@@ -98,15 +98,12 @@ def test_language_words():
 
 
 def brute_top(vectors, k):
-    best = {}
-    for key, v in vectors:
-        if key is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            own = [math.floor(64 * x) for x in v]
-            best[key] = max(best.get(key, own), own)
+    """Each row by itself: as query, and as candidate of every other."""
+    own = [(key, [math.floor(64 * x) for x in v]) for key, v in vectors if key is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in best.items():
+    for i, (q, a) in enumerate(own):
         if q % 20 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), c) for c, b in best.items() if c != q)
+            scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), c) for j, (c, b) in enumerate(own) if j != i)
             out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scores[:k])]
     return sorted(out, key=repr)
 
@@ -118,11 +115,44 @@ def test_top_k(spark, table, block, lists, k):
     vectors += [(i, vectors[40][1]) for i in range(300, 340)]  # ties
     vectors += [(400, None), (420, [None] * 10), (421, [float("nan")] * 10), (440, [float("inf")] + [0.0] * 9), (None, vectors[0][1])]
     vectors += [vectors[20], vectors[21], (22, vectors[23][1]), (460, [-1.0] * 10), (480, [0.0] * 10)]
-    frame = spark.createDataFrame([(i, v, 1, 2) for i, v in vectors], "vec_id long, embedding array<float>, score int, key int").repartition(4)
+    frame = spark.createDataFrame([(i, v, 1, 2, 3) for i, v in vectors], "vec_id long, embedding array<float>, score int, key int, `row` int").repartition(4)
     found = top_k.exact_top_k(frame, F.col("vec_id") % 20 == 0, k, lists=lists, block=block)
     assert table(found.select("query_id", "rank", "vec_id", "score")) == brute_top(vectors, k)
 
 
+@pytest.mark.parametrize("size,kind", [(3.0, "float32"), (1e5, "float64"), (1e7, "int64")])
+def test_top_k_is_exact_for_large_components(spark, table, size, kind):
+    rnd = np.random.default_rng(4)
+    vectors = [(i, (np.rint(rnd.uniform(-size, size, 8) * 64) / 64).tolist()) for i in range(120)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    assert top_k.exact_type(top_k.integer_vectors(frame, "vec_id", "embedding")) == np.dtype(kind)
+    assert table(top_k.exact_top_k(frame, F.col("vec_id") % 20 == 0, 7)) == brute_top(vectors, 7)
+
+
+def test_top_k_of_what_has_no_score(spark):
+    some = spark.createDataFrame([(0, [1.0]), (5, [2.0, 3.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="1 and 2 components"):
+        top_k.exact_top_k(some, F.col("vec_id") == 0, 1)
+    large = spark.createDataFrame([(0, [1e9]), (5, [1e8])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="do not fit"):
+        top_k.exact_top_k(large, F.col("vec_id") == 0, 1)
+
+
+def test_lists_are_left_out_once_no_pair_can_reach_the_cutoff():
+    rnd = np.random.default_rng(5)
+    centres = np.rint(rnd.normal(0, 100, (40, 32)))
+    vectors = np.repeat(centres, 25, axis=0) + np.rint(rnd.normal(0, 3, (1000, 32)))
+    vectors = vectors.astype(np.float64)  # neighbours lie together, as in a table sorted by cluster
+    queries, parts, resolved, right = vectors[::100], top_k._bounds(32, 4), 0, 0
+    scores = queries @ vectors.T
+    cutoff = np.sort(scores, axis=1)[:, -20]
+    for at in range(0, 1000, 25):
+        q, v, score, size = top_k.resolve(queries, vectors[at : at + 25], cutoff, parts)
+        assert (scores[q, at + v] == score).all()
+        resolved, right = resolved + size, right + len(q)
+    assert right == (scores >= cutoff[:, None]).sum() and resolved < 0.2 * scores.size
+
+
 def test_top_k_of_few(spark):
     frame = spark.createDataFrame([(0, [1.0]), (5, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in top_k.exact_top_k(frame, F.col("vec_id") % 20 == 0, 20).collect()] == [(0, 1, 5, 8192)]
