@@ -13,7 +13,7 @@ each language that are counted, picked by a hash of the key from all of them.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so
 is every text when nothing could be learnt; letters outside the vocabulary count as pieces
-of a small fixed probability; a null key is never held out; an empty table gives an empty result.
+of a small fixed probability; a word of any length is summed whole; a null key is never held out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ from starfold.sources import stage
 
 #: Documents of each language that the model is fitted on, about; rounds of expectation-maximisation.
 SAMPLE, ROUNDS = 1000, 2
-#: Probability of a letter that is no piece; words of a longer text are cut to so many letters; words kept by a worker.
-FLOOR, LONGEST, KEPT_WORDS = 1e-7, 48, 300_000
+#: Probability of a letter that is no piece; letters of the longest word summed in one array (FLOOR to this power is still a number),
+#: longer ones by logarithms; words kept by a worker.
+FLOOR, LONGEST, KEPT_WORDS = 1e-7, 36, 300_000
 START = "\u2581"
 UNKNOWN = "und"
 
@@ -53,12 +54,13 @@ def vocabulary(path: str) -> dict[str, int]:
 
 
 def letter_words(text: str | None) -> list[str]:
-    """Words of a text: runs of letters, lower case, cut to ``LONGEST`` letters each."""
+    """Words of a text: runs of letters, lower case."""
     out = []
     for w in _LETTERS.findall(text.lower()) if text else []:
         if not w.isalpha():
             w = "".join(c for c in w if c.isalpha())
-        out += [w[i : i + LONGEST] for i in range(0, len(w), LONGEST)]
+        if w:
+            out.append(w)
     return out
 
 
@@ -104,12 +106,43 @@ class Lattice:
                 beta[:, i] += beta[:, i + k] * table[edges[:, i, k - 1]]
         return beta
 
+    def ending_at(self, word: str, j: int) -> list[tuple[int, int]]:
+        """(letters, number) of the pieces that end at position j of a marked word."""
+        found = [(k, self.pieces.get(word[j - k : j], 0)) for k in range(1, min(self.reach, j) + 1)]
+        return [(k, piece or self.unknown) for k, piece in found if piece or k == 1]
+
+    def long_forward(self, word: str, table: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Log probability of a long word by language; with ``keep`` also the logs of the sums up to each position."""
+        word, logs = START + word, np.log(table[1:])
+        sums: list[np.ndarray] = [np.zeros(table.shape[1])]  # all positions, or as many as a piece reaches back
+        for j in range(1, len(word) + 1):
+            terms = np.stack([sums[-k] + logs[piece - 1] for k, piece in self.ending_at(word, j)])
+            sums.append(np.logaddexp.reduce(terms, axis=0))
+            if not keep and len(sums) > 2 * self.reach + 64:
+                del sums[: -self.reach]
+        return sums[-1], sums
+
+    def add_long(self, out: np.ndarray, word: str, count: float, table: np.ndarray) -> None:
+        """Add the expected uses of each piece in a long word of one language: the sums from the end, walked back over those from the start."""
+        total, before = self.long_forward(word, table, keep=True)
+        word, logs, n = START + word, np.log(table[1:, 0]), len(word) + 1
+        after = np.full(n + 1, -np.inf)
+        after[n] = 0
+        for j in range(n, 0, -1):  # all pieces that start at j were met at the ends they have
+            for k, piece in self.ending_at(word, j):
+                step = logs[piece - 1] + after[j]
+                out[piece] += count * np.exp(before[j - k][0] + step - total[0])
+                after[j - k] = np.logaddexp(after[j - k], step)
+
     def log_probability(self, words: list[str], table: np.ndarray) -> np.ndarray:
         """[word, language]."""
         out = np.zeros((len(words), table.shape[1]))
         by_length = defaultdict(list)
         for i, w in enumerate(words):
-            by_length[len(w)].append(i)
+            if len(w) > LONGEST:
+                out[i] = self.long_forward(w, table)[0]
+            else:
+                by_length[len(w)].append(i)
         for rows in by_length.values():
             for a in range(0, len(rows), 4096):
                 some = rows[a : a + 4096]
@@ -122,7 +155,10 @@ class Lattice:
         out = np.zeros(self.unknown + 1)
         by_length = defaultdict(list)
         for i, w in enumerate(words):
-            by_length[len(w)].append(i)
+            if len(w) > LONGEST:
+                self.add_long(out, w, counts[i], table)
+            else:
+                by_length[len(w)].append(i)
         for rows in by_length.values():
             for a in range(0, len(rows), 4096):
                 some = rows[a : a + 4096]
@@ -211,14 +247,29 @@ class Scorer:
         if len(self.row) > KEPT_WORDS:
             self.row, self.logs = {}, np.zeros((0, self.table.shape[1]))
         new = list({w for words in own for w in words if w not in self.row})
+        kept = len(self.row)
         if new:
-            self.row.update(zip(new, range(len(self.row), len(self.row) + len(new)), strict=True))
+            new.sort(key=len)
+            self.row.update(zip(new, range(kept, kept + len(new)), strict=True))
             self.logs = np.concatenate([self.logs, self.lattice.log_probability(new, self.table)])
         get = self.row.__getitem__
         sums = [self.logs[np.fromiter(map(get, w), np.int64, len(w))].sum(0) for w in own]
+        while new and len(new[-1]) > LONGEST:  # long words are not kept: they come last
+            del self.row[new.pop()]
+        self.logs = self.logs[: kept + len(new)]
         return np.array(sums).reshape(len(texts), -1), np.array([len(w) for w in own])
 
 
+_scorer: list = []  # the last one of this worker, by its model and probabilities
+
+
+def scorer(model: str, table: np.ndarray) -> Scorer:
+    """The worker's scorer; tasks of one query go on with the words that the ones before have met."""
+    if not _scorer or _scorer[0][0] != model or not np.array_equal(_scorer[0][1], table):
+        _scorer[:] = [(model, table, Scorer(model, table.astype(float)))]
+    return _scorer[0][2]
+
+
 def predict_language(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", language: str = "lang", sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: key, held_out, lang_pred, score (the probability of the prediction among the languages learnt)."""
     languages, table, share = learn(docs, model, key, text, language, sample, rounds)
@@ -226,11 +277,11 @@ def predict_language(docs: DataFrame, model: str, key: str = "doc_id", text: str
     small = table.astype(np.float32)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model, small.astype(float)) if languages else None
+        score = scorer(model, small) if languages else None
         for batch in slices(batches):
             names, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-            if scorer is not None:
-                sums, n = scorer(batch.column("text").to_pylist())
+            if score is not None:
+                sums, n = score(batch.column("text").to_pylist())
                 z = sums + np.log(share)
                 best = z.argmax(1)
                 names = [languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), n.tolist(), strict=True)]

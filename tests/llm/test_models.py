@@ -94,7 +94,38 @@ def test_language_of_odd_rows(docs, rows, nothing):
 
 def test_language_words():
     assert language.letter_words("Don't 4² x_y ÉTÉ") == ["don", "t", "x", "y", "été"]
-    assert [len(w) for w in language.letter_words("a" * 100)] == [48, 48, 4]
+    assert [len(w) for w in language.letter_words("a" * 100)] == [100]
+
+
+def test_long_words_are_summed_whole(monkeypatch):
+    """A word of 100 letters against the sum over all its segmentations, and against the arrays that shorter words use."""
+    pieces = {p: i for i, p in enumerate([language.START, language.START + "a", "a", "b", "ab", "ba", "aab", "bb"], 1)}
+    lattice, rnd = language.Lattice(pieces), np.random.default_rng(3)
+    table = np.concatenate([np.zeros((1, 2)), rnd.uniform(0.05, 0.3, (len(pieces), 2)), np.full((1, 2), language.FLOOR)])
+    word = "".join(rnd.choice(["a", "b", "é"], 100, p=[0.5, 0.45, 0.05]))
+
+    def enumerated(left, c):  # probability of all segmentations, by recursion over what is left
+        if left not in seen[c]:
+            seen[c][left] = 1.0 if not left else sum(
+                (table[pieces[left[:k]], c] if left[:k] in pieces else language.FLOOR) * enumerated(left[k:], c)
+                for k in range(1, len(left) + 1) if left[:k] in pieces or k == 1
+            )
+        return seen[c][left]
+
+    seen = [{}, {}]
+    want = [math.log(enumerated(language.START + word, c)) for c in (0, 1)]
+    assert np.allclose(lattice.log_probability([word], table)[0], want)
+    some, counts = [word, word[:50], "ab"], np.array([2.0, 1.0, 3.0])
+    by_logs = lattice.expected(some, counts, table[:, :1])
+    monkeypatch.setattr(language, "LONGEST", 200)
+    assert np.allclose(by_logs, lattice.expected(some, counts, table[:, :1]))
+    scorer = language.Scorer.__new__(language.Scorer)
+    scorer.lattice, scorer.table, scorer.row, scorer.logs = lattice, table, {}, np.zeros((0, 2))
+    whole = scorer(["ab " + word + " ba ab", word[:40]])[0]
+    monkeypatch.setattr(language, "LONGEST", 10)
+    scorer.row, scorer.logs = {}, np.zeros((0, 2))
+    for _ in range(2):
+        assert np.allclose(scorer(["ab " + word + " ba ab", word[:40]])[0], whole) and set(scorer.row) == {"ab", "ba"}
 
 
 def brute_top(vectors, k):
