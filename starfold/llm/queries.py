@@ -52,7 +52,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page, written and read back with its payload."""
     path = fresh_path(spark, "warc")
     write_archive(load(spark, sf_dir, "pages"), path, least_bytes=0)
-    headers, payloads = read_archive(spark, path)
+    headers, payloads = read_archive(spark, path, content=False)
     whole = rebuild(headers, payloads, "payload_bytes", "payload_digest")
     return whole.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 

@@ -172,36 +172,44 @@ def _members(path: str) -> Iterator[bytes]:
             yield b"".join(parts)
 
 
-def read_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_archive(spark: SparkSession, path: str, content: bool = True) -> tuple[DataFrame, DataFrame]:
     """Headers and payloads of an archive.
 
     Headers, from the files: id, record_type, refers_to, digest, address, and both headers as they are.
     Payloads: address, payload_digest, payload_bytes, payload; one row each, checked
-    against the address and against the digest in the header.
+    against the address and against the digest in the header. Without ``content`` the column payload is left out, and
+    the files are parsed once, into a stored table of headers and digests; with it each of both results parses them.
     """
-    records = read_files(spark, path)
     own = read_table(spark, beside(path, "headers")).select("warc_header", "http_header", "address").distinct()
-    parsed = records.select(
+    response = F.col("record_type") == "response"
+    parsed = read_files(spark, path).select(
         "warc_header", "http_header", "payload",
         _field(F.col("warc_header"), "WARC-Type").alias("record_type"),
         F.regexp_extract(F.col("warc_header").cast("string"), r"WARC-Record-ID: <urn:record:(-?\d+)>", 1).try_cast("long").alias("id"),
         F.regexp_extract(F.col("warc_header").cast("string"), r"WARC-Refers-To: <urn:record:(-?\d+)>", 1).try_cast("long").alias("refers_to"),
         F.substring_index(_field(F.col("warc_header"), "WARC-Payload-Digest"), ":", -1).alias("digest"),
-    )
-    responses = parsed.filter("record_type = 'response'").withColumns({"found": F.sha2("payload", 256), "payload_digest": base32_sha1(F.col("payload"))})
+    ).withColumns({
+        "found": F.when(response, F.sha2("payload", 256)),
+        "payload_digest": F.when(response, base32_sha1(F.col("payload"))),
+        "payload_bytes": F.octet_length("payload").cast("long"),
+    })
+    facts = ["found", "payload_digest", "payload_bytes"]
+    if not content:
+        parsed = stage(parsed.drop("payload"), "warc-parsed")
     wrong = F.raise_error(F.lit("a payload does not match its digest"))
-    payloads = responses.select(
+    payloads = parsed.filter(response).select(
         F.when(F.col("payload_digest") == F.col("digest"), F.col("found")).otherwise(wrong).alias("address"),
-        "payload_digest", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload",
+        "payload_digest", "payload_bytes", *(["payload"] if content else []),
     )
-    headers = parsed.drop("payload").join(own, ["warc_header", "http_header"])
+    # by sort and merge: the planner takes what mapInArrow makes for much smaller than it is, and would send it to all tasks
+    headers = parsed.drop("payload", *facts).join(own.hint("merge"), ["warc_header", "http_header"])
     return headers, payloads
 
 
 def rebuild(headers: DataFrame, payloads: DataFrame, *columns: str) -> DataFrame:
     """Every record with its payload's columns, by a join on the verified address; a missing payload is an error."""
     one = payloads.groupBy("address").agg(*[F.first(c).alias(c) for c in columns])
-    met = headers.join(one, "address", "left")
+    met = headers.join(one.hint("merge"), "address", "left")
     check = F.when(F.col(columns[0]).isNull(), F.raise_error(F.lit("a payload is missing"))).otherwise(F.col(columns[0]))
     return met.withColumn(columns[0], check)
 
