@@ -149,6 +149,19 @@ def unpacked(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), kind)
 
 
+def quoted(name: str) -> str:
+    """A column name as it is, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def own_columns(df: DataFrame, *wanted: str) -> DataFrame:
     """Only the columns an operator reads; others, whatever their names, stay out of it."""
-    return df.select(*[F.col(f"`{c}`") for c in wanted])
+    return df.select(*[F.col(quoted(c)) for c in wanted])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

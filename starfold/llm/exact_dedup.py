@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import mix, own_columns
+from starfold.llm.common import mix, own_columns, quoted, unused
 from starfold.sources import stage
 
 #: Digests in a bucket, about: a filter is built and held by one task.
@@ -136,20 +136,27 @@ def group_batch(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest", "n_bytes").agg(F.max("key").alias("keep"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def screen(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """Entries of the batch with ``maybe``: whether the filter of their bucket lets them through."""
+def screen(batch: DataFrame, snapshot: Snapshot, most: int = BUCKET_ROWS) -> DataFrame:
+    """Entries of the batch with ``maybe``: whether the filter of their bucket lets them through.
+
+    ``most`` bounds the entries of the batch. Where they outnumber the snapshot's, a bucket is dealt
+    to several tasks, each with the bucket's filter, so none probes more than about ``BUCKET_ROWS``.
+    """
+    shares = max(1, -(-most // (snapshot.buckets * BUCKET_ROWS)))
     schema = batch.schema.simpleString()[7:-1] + ",maybe:boolean"
 
     def probe(rows: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
         hashes = rows["hash"].to_numpy().view(np.uint64)
-        rows = rows.drop(columns=["hash", "bucket"])
+        rows = rows.drop(columns=["hash", "bucket", "share"])
         if filters.empty:
             return rows.assign(maybe=False)
         f = filters.iloc[0]
         return rows.assign(maybe=probe_filter(hashes, int(f["seed"]), int(f["segment"]), int(f["segments"]), f["cells"]))
 
-    incoming = _bucketed(batch, snapshot.buckets).groupBy("bucket")
-    return incoming.cogroup(snapshot.filters.groupBy("bucket")).applyInPandas(probe, schema)
+    share = F.pmod(F.shiftright("hash", 32), F.lit(shares)).cast("int").alias("share")
+    incoming = _bucketed(batch, snapshot.buckets).select("*", share).groupBy("bucket", "share")
+    filters = snapshot.filters.select("*", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
+    return incoming.cogroup(filters.groupBy("bucket", "share")).applyInPandas(probe, schema)
 
 
 def same_bytes(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -169,7 +176,7 @@ def ingest(snapshot: Snapshot | None, rows: DataFrame, docs: DataFrame, key: str
     batch = group_batch(rows)
     if snapshot is None:
         return batch
-    screened = stage(screen(batch, snapshot), "dedup-screened")
+    screened = stage(screen(batch, snapshot, rows.count()), "dedup-screened")
     old = snapshot.entries.withColumnsRenamed({"keep": "old_keep", "n_rows": "old_rows"})
     pairs = stage(screened.filter("maybe").drop("maybe").join(old, ["digest", "n_bytes"]), "dedup-pairs")
     met = pairs.join(same_bytes(pairs, docs, key, text), "digest", "left_semi").select("digest", "n_bytes", "keep", "n_rows")
@@ -204,8 +211,8 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", batche
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without their duplicates, with the columns they had: the largest key of each text."""
     # key and digest as one string: texts are shuffled by it once, for the join and for repeated rows
-    row = lambda k, digest: F.concat_ws(" ", digest, F.coalesce(k.cast("string"), F.lit("-")))
-    kept = exact_dedup(docs, key, text).filter("kept").select(row(F.col(key), F.lower(F.hex("digest"))).alias("__row"))
-    content = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    own = docs.withColumn("__row", row(F.col(key), F.sha2(content, 256)))
-    return own.join(kept.hint("merge"), "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
+    row, name = lambda k, digest: F.concat_ws(" ", digest, F.coalesce(k.cast("string"), F.lit("-"))), unused(docs, "row")
+    kept = exact_dedup(docs, key, text).filter("kept").select(row(F.col(quoted(key)), F.lower(F.hex("digest"))).alias(name))
+    content = F.coalesce(F.col(quoted(text)), F.lit("")).cast("binary")
+    own = docs.withColumn(name, row(F.col(quoted(key)), F.sha2(content, 256)))
+    return own_columns(own.join(kept.hint("merge"), name, "left_semi").dropDuplicates([name]), *docs.columns)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import as_bytes, mix, own_columns, packed, release, rolled, slices, unpacked, words
+from starfold.llm.common import as_bytes, mix, own_columns, packed, quoted, release, rolled, slices, unpacked, unused, words
 from starfold.llm.components import components
 from starfold.sources import stage
 
@@ -394,7 +394,7 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n
     """The documents, with the columns they had, less all but the least key of each component."""
     found = similarity_classes(docs, key, text, n, percent).filter(F.col(key).eqNullSafe(F.col("component_id")))
     # key and mark as one string: texts are shuffled by it once, for the join and for repeated rows
-    row = lambda k, mark: F.concat_ws(" ", mark.cast("string"), F.coalesce(k.cast("long").cast("string"), F.lit("-")))
-    first = found.groupBy("root", key).agg(F.min("mark").alias("mark")).select(row(F.col(key), F.col("mark")).alias("__row"))
-    own = docs.withColumn("__row", row(F.col(key), F.xxhash64(text)))
-    return own.join(first.hint("merge"), "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
+    row, name = lambda k, mark: F.concat_ws(" ", mark.cast("string"), F.coalesce(k.cast("long").cast("string"), F.lit("-"))), unused(docs, "row")
+    first = found.groupBy("root", F.col(quoted(key)).alias("key")).agg(F.min("mark").alias("mark")).select(row(F.col("key"), F.col("mark")).alias(name))
+    own = docs.withColumn(name, row(F.col(quoted(key)), F.xxhash64(F.col(quoted(text)))))
+    return own_columns(own.join(first.hint("merge"), name, "left_semi").dropDuplicates([name]), *docs.columns)

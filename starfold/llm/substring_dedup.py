@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import as_bytes, mix, own_columns, packed, release, rolled, slices, unpacked, words
+from starfold.llm.common import as_bytes, mix, own_columns, packed, quoted, release, rolled, slices, unpacked, unused, words
 from starfold.sources import stage
 
 #: Words in the runs whose hashes are compared for the minimiser.
@@ -243,6 +243,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
             out.append((len(own), len(own) - len(kept), b" ".join(kept).decode(), [{"at": i, "n": j - i} for i, j in spans]))
         return pd.DataFrame(out, columns=["n_words", "n_removed", "kept_text", "spans"])
 
-    a, b = docs.withColumn("__mark", F.xxhash64(text)).alias("a"), found.alias("b")
-    met = a.join(b, (F.col(f"a.{key}").cast("long") == F.col("b.key")) & (F.col("__mark") == F.col("b.mark")), "left")
-    return met.select(*[F.col(f"a.`{c}`") for c in docs.columns if c != into], remove(F.col(f"a.`{text}`"), F.col("b.runs")).alias(into))
+    mark, *names = (unused(docs, name) for name in ("own_mark", "found_key", "found_mark", "found_runs"))
+    found = found.select(*[F.col(c).alias(n) for c, n in zip(("key", "mark", "runs"), names, strict=True)])
+    own = docs.withColumn(mark, F.xxhash64(F.col(quoted(text))))
+    met = own.join(found, (F.col(quoted(key)).cast("long") == F.col(names[0])) & (F.col(mark) == F.col(names[1])), "left")
+    kept = [F.col(quoted(c)) for c in docs.columns if c != into]
+    return met.select(*kept, remove(F.col(quoted(text)), F.col(names[2])).alias(into))

@@ -146,3 +146,20 @@ def test_crowded_buckets_are_split(docs, rows, table, monkeypatch):
 
 def test_no_documents(nothing):
     assert substring_dedup.remove_repeats(nothing).count() == 0
+
+
+def test_a_large_batch_meets_a_small_snapshot_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKET_ROWS", 50)
+    docs = spark.createDataFrame([(i, f"text {max(i, 3) % 900}") for i in range(1000)], "doc_id long, text string").repartition(3)
+    rows = exact_dedup.digests(docs)
+    old = exact_dedup.publish(exact_dedup.group_batch(rows.filter("key = 5")))
+    batch = exact_dedup.group_batch(rows.filter("key <> 5"))
+    assert old.buckets == 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = exact_dedup.screen(batch, old, 999)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == batch.count() and max(sizes) < 0.5 * sum(sizes)
+        assert found.filter("maybe").count() >= 1 and found.filter("maybe").select("digest").subtract(old.entries.select("digest")).count() < 20
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -127,3 +127,23 @@ def test_stages_of_odd_rows(spark, docs, nothing):
             given = spark.createDataFrame(stage(spark, given, folder).collect(), stage(spark, given, folder).schema)
             assert name == "packing" or given.columns == columns
     assert given.count() == 0
+
+
+def test_stages_leave_other_columns_as_they_are(spark, rows):
+    """Names with dots and backticks, names of helpers inside the operators, and documents without n_chars."""
+    names = ["a.b", "__row", "row", "__mark", "own_mark", "found_key", "__passages", "passages", "a", "b", "key", "text.x", "`q`"]
+    some = [r for r in rows if r[0] is not None and (r[1] is None or len(r[1]) < 5000)]
+    schema = "doc_id long, text string, " + ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+    given = spark.createDataFrame([(i, t, *[f"{n} of {i} {len(t or '')}" for n in names]) for i, t, *_ in some], schema)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/odd-columns"
+    labels.write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    told = {tuple(r)[2:] for r in given.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, given, folder)
+        if name != "packing":
+            assert found.columns == given.columns
+            got = found.collect()
+            assert got and {tuple(r)[2:] for r in got} <= told, name
+            given = spark.createDataFrame(got, found.schema)
+    assert found.count() > 0
