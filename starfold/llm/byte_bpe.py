@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starfold.llm.common import own_columns, slices
 
@@ -98,7 +99,7 @@ def decode_documents(encoded: DataFrame, ranks: str, pattern: str, key: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoding(ranks, pattern)
-        for batch in batches:
+        for batch in slices(batches, "ids"):
             content = [coder.decode_bytes(np.frombuffer(b or b"", np.uint32).tolist()) for b in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), pa.array(content, pa.binary())], ["k", "ids", "content"])
 
@@ -109,8 +110,9 @@ def decode_documents(encoded: DataFrame, ranks: str, pattern: str, key: str = "d
 def decimal_ids(encoded: DataFrame, ids: str = "ids") -> DataFrame:
     """The same rows with ``decimal``: the ids in decimal, joined by commas."""
 
-    @F.pandas_udf("string")
-    def join(values):
-        return values.map(lambda b: ",".join(map(str, np.frombuffer(b, np.uint32).tolist())))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ids):
+            decimal = [None if b is None else ",".join(map(str, np.frombuffer(b, np.uint32).tolist())) for b in batch.column(ids).to_pylist()]
+            yield batch.append_column("decimal", pa.array(decimal, pa.string()))
 
-    return encoded.withColumn("decimal", join(F.col(ids)))
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decimal", StringType())]))
