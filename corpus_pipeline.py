@@ -4,17 +4,17 @@
 
 Every stage but the last returns the columns of ``documents``; each result is
 written as Parquet in the shared folder and read again. Null texts count as empty
-in every stage, other columns pass through as they are, and an empty table
-gives an empty result.
+in every stage, other columns pass through as they are, whatever their names; ``n_chars``, where there
+is one, follows the text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm.common import fresh_path, load, ready
+from starfold.llm.common import fresh_path, load, quoted, ready, unused
 from starfold.llm.exact_dedup import keep_one
 from starfold.llm.jaccard_join import keep_one_of_each
 from starfold.llm.packing import encode_pieces, pack_documents
@@ -45,10 +45,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of 13-word windows that an earlier document has; other texts stay as they are."""
     ready(spark)
-    found = remove_repeats(docs, window=13, into="__passages")
-    text = F.when(F.col("__passages.n_removed") > 0, F.col("__passages.kept_text")).otherwise(F.col("text"))
-    size = F.when(F.col("__passages.n_removed") > 0, F.char_length("__passages.kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns({"text": text, "n_chars": size}).select(*docs.columns)
+    into = unused(docs, "passages")
+    found = remove_repeats(docs, window=13, into=into)
+    passages = F.col(quoted(into))
+    changed = {"text": passages["kept_text"], "n_chars": F.char_length(passages["kept_text"])}
+
+    def own(name: str) -> Column:
+        column, kind = F.col(quoted(name)), docs.schema[name].dataType
+        return F.when(passages["n_removed"] > 0, changed[name].cast(kind)).otherwise(column).alias(name) if name in changed else column
+
+    return found.select(*[own(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
