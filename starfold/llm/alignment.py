@@ -35,8 +35,8 @@ from starfold.sources import write_table
 
 #: Bytes of text whose pairs are counted together.
 BLOCK = 8 << 20
-#: Characters of pieces that a worker keeps, and of the longest one kept.
-KEPT_CHARS, LONGEST_KEPT = 6_000_000, 200
+#: Characters of pieces that a worker keeps (twice that with the store before), and of the longest one kept; characters of texts split at a time.
+KEPT_CHARS, LONGEST_KEPT, AT_ONCE = 2_500_000, 200, 1_000_000
 
 _LATIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _MARKS = ',.;:!?"()[]{}#$%&*+/<=>@\\^`|~\n\r\t'  # ends of words, unless an entry of B has one after a letter
@@ -148,6 +148,17 @@ class Aligner:
             p, t = p_end, t_end
         return out
 
+    def all_texts(self, column: pa.Array) -> Iterator[tuple[bytes, bytes, int]]:
+        """``texts`` of a column, a part at a time."""
+        part, chars = [], 0
+        for value in column:
+            part.append(value.as_py())
+            chars += len(part[-1] or "")
+            if chars >= AT_ONCE:
+                yield from self.texts(part)
+                part, chars = [], 0
+        yield from self.texts(part)
+
     def texts(self, texts: list[str | None]) -> list[tuple[bytes, bytes, int]]:
         """(pairs, groups, A tokens) of each whole text; all empty where it has no tokens."""
         if self.chars > KEPT_CHARS:
@@ -212,8 +223,7 @@ def token_groups(docs: DataFrame, byte_level: str, piece_model: str, key: str =
         block = TaskContext.get().partitionId() << 32
         for batch in slices(batches, limit=BLOCK):
             sizes, texts, places, counts, held = [], [], [], [], []
-            aligned = coder.texts(batch.column("text").to_pylist())
-            for pairs, groups, n_a in aligned:
+            for pairs, groups, n_a in coder.all_texts(batch.column("text")):
                 own, times = np.unique(np.frombuffer(pairs, np.int64), return_counts=True)
                 n_groups = groups.count(_END) + bool(groups)
                 n_all = groups.count(_COMMA) + groups.count(_BAR) + n_groups
