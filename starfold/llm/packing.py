@@ -1,20 +1,27 @@
 """Best-fit packing of pieces into sequences, in bulk-synchronous supersteps.
 
-Sizes are divided into a few ranges, each four times the one below. A superstep
-brings the documents that look for room in a range together with the gaps of that
-range, sorted by size: each document, larger ones first, takes the smallest gap
-that holds it (its successor), documents that want the same gap take it by rank,
-and the gap left over goes on as a smaller one. A document without a successor
-looks in the next range above at the next superstep; above the last range it opens
-a sequence. Ranges start one after the other, from the largest sizes down, so
-that large documents choose first. A range with many rows is dealt to several
-tasks by a hash drawn anew at every superstep; no task holds more than about
-``task_rows`` rows. Supersteps are stored tables: two for each range, and more
-only while documents are left.
+Sizes are divided into a few ranges, each four times the one below; a superstep takes
+the documents of one range, from the largest sizes down, and every gap left so far:
+
+1. Documents and gaps are sorted by size over all tasks (range partitions, an offset
+   for each), so every row knows its place.
+2. The successors are swept: a document, larger ones first, takes the smallest gap
+   that holds it, and what it leaves is a gap again; without one it opens a sequence.
+   Documents of one size are alike, and so are gaps of one size, so the sweep runs over
+   sizes and their numbers of rows, at most ``capacity`` of each however many
+   documents there are; it is the one part that is not spread over tasks.
+3. Documents that want gaps of one size take them by rank: a place among the documents
+   leads to a place among the gaps, and the two tables are joined by it. At most
+   ``capacity`` documents meet a gap.
+4. Every gap learns by its place what is left of it, and the next superstep sorts them anew.
+
+The packing is that of a sequential best fit over all documents by decreasing size. It does
+not depend on partitions or on the ranges; a superstep is a stored table.
 
 Defined cases: a piece fills its sequence if it is as long as the capacity; ties
-go by the piece's number; pieces of length 0 take no room and join any sequence;
-an empty table gives an empty result.
+go by the piece's number; pieces of length 0 take no room and are spread over the
+sequences, at offset 0; a longer piece than the capacity is an error; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,109 +30,152 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.llm.common import own_columns, slices
 from starfold.llm.encoding import encoder
+from starfold.operators.keys import dense_key
+from starfold.operators.skew import Limits
 from starfold.sources import stage, union_all
 
-#: Rows that one task sorts and matches, about.
-TASK_ROWS = 200_000
 #: Ratio of neighbouring ranges of sizes.
 STEP = 4
+#: Every sort is spread over tasks, however few its rows are.
+_SPREAD = Limits(one_task_rows=0)
 
 
-def fit_documents(sizes: np.ndarray, numbers: np.ndarray, gaps: np.ndarray, gap_ids: np.ndarray, capacity: int, opening: bool):
-    """Match documents (larger first) to their successors among the gaps.
+def sweep(docs: list[tuple[int, int, int]], gaps: list[tuple[int, int]], capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Successors of documents among gaps, by sizes.
 
-    Returns the sequence of each document (-1: none), and gaps and ids of the
-    sequences as they are now. ``opening``: a document without a successor opens a
-    sequence that is named after its number.
+    ``docs``: (size, place of the first, number) by decreasing size. ``gaps``: (size, number)
+    by increasing size; gaps are numbered in this order, opened sequences after them. Returns the moves
+    (first place, first gap, documents a gap, size, size of the gap) by place, what is left (first gap, size)
+    by gap, and how many sequences were opened.
     """
-    at: dict[int, list[int]] = {}
-    for i in np.lexsort((gap_ids, gaps))[::-1].tolist():
-        at.setdefault(int(gaps[i]), []).append(int(gap_ids[i]))
-    ladder = sorted(at)
-    chosen = np.full(len(sizes), -1, np.int64)
-    order = np.lexsort((numbers, -sizes))
-    for i, size in zip(order.tolist(), sizes[order].tolist(), strict=True):
-        k = bisect_left(ladder, size)
-        if k < len(ladder):
-            gap = ladder[k]
-            own = at[gap].pop()
-            if not at[gap]:
-                del at[gap], ladder[k]
-        elif opening:
-            own, gap = int(numbers[i]), capacity
-        else:
-            continue
-        chosen[i] = own
-        left = gap - size
-        if left:
-            if left not in at:
-                insort(ladder, left)
-                at[left] = []
-            at[left].append(own)
-    return chosen, [(gap, own) for gap, ids in at.items() for own in ids]
-
-
-_STATE = "kind string, number long, size long, sequence long, look int"
-
-
-def _superstep(table: pa.Table, capacity: int, top: int) -> pa.Table:
-    kind, number, size, sequence = (table.column(c).to_numpy() for c in ("kind", "number", "size", "sequence"))
-    look = table.column("look")[0].as_py()
-    doc = kind == "doc"
-    chosen, gaps = fit_documents(size[doc], number[doc], size[~doc], sequence[~doc], capacity, look == top)
-    got = chosen >= 0
-    rows = {
-        "kind": np.concatenate([np.full(got.sum(), "placed"), np.full((~got).sum(), "doc"), np.full(len(gaps), "gap")]).astype(object),
-        "number": np.concatenate([number[doc][got], number[doc][~got], np.full(len(gaps), -1)]),
-        "size": np.concatenate([size[doc][got], size[doc][~got], np.array([g for g, _ in gaps], np.int64)]),
-        "sequence": np.concatenate([chosen[got], np.full((~got).sum(), -1), np.array([s for _, s in gaps], np.int64)]),
-        "look": np.full(len(number[doc]) + len(gaps), look + 1, np.int32),
-    }
-    return pa.Table.from_pandas(pd.DataFrame(rows), pa.schema([("kind", pa.string()), ("number", pa.int64()), ("size", pa.int64()), ("sequence", pa.int64()), ("look", pa.int32())]), preserve_index=False)
-
-
-def best_fit(pieces: DataFrame, capacity: int, number: str = "number", size: str = "size", task_rows: int = TASK_ROWS) -> DataFrame:
+    at: dict[int, list[tuple[int, int]]] = {}
+    ladder: list[int] = []
+    full: list[tuple[int, int]] = []  # (first gap, size) of those with nothing left
+    moves: list[tuple[int, ...]] = []
+
+    def give(size: int, first: int, number: int) -> None:
+        if not number:
+            return
+        if not size:
+            full.append((first, 0))
+            return
+        if size not in at:
+            insort(ladder, size)
+            at[size] = []
+        at[size].append((first, number))
+
+    known = 0
+    for size, number in gaps:
+        give(size, known, number)
+        known += number
+    end = known
+    for size, place, n in docs:
+        while n:
+            k = bisect_left(ladder, size)
+            if k < len(ladder):
+                gap = ladder[k]
+                first, number = at[gap].pop()
+                if not at[gap]:
+                    del at[gap], ladder[k]
+            else:
+                gap, first, number = capacity, end, -(-n // (capacity // size))
+                end += number
+            each = gap // size  # what a document leaves is smaller than any other gap that holds the next one
+            whole = min(number, n // each)
+            if whole:
+                moves.append((place, first, each, size, gap))
+                give(gap - each * size, first, whole)
+                place, n, first, number = place + whole * each, n - whole * each, first + whole, number - whole
+            if number and n:
+                moves.append((place, first, n, size, gap))
+                give(gap - n * size, first, 1)
+                place, n, first, number = place + n, 0, first + 1, number - 1
+            give(gap, first, number)
+    left = full + [(first, size) for size, parts in at.items() for first, _ in parts]
+    return np.array(sorted(moves), np.int64).reshape(-1, 5), np.array(sorted(left), np.int64).reshape(-1, 2), end - known
+
+
+def _places(rows: DataFrame, moves: np.ndarray) -> DataFrame:
+    """(number, gap, offset in its sequence less what was taken of it before) of documents."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            first, gap, each, size, room = moves[np.searchsorted(moves[:, 0], place, "right") - 1].T
+            own = [gap + (place - first) // each, (place - first) % each * size, room]
+            yield pa.RecordBatch.from_arrays([batch.column("number"), *map(pa.array, own)], ["number", "gap", "inside", "room"])
+
+    return rows.select("number", "place").mapInArrow(places, "number long, gap long, inside long, room long")
+
+
+def _sizes_left(rows: DataFrame, left: np.ndarray) -> DataFrame:
+    """(sequence, size) of gaps after the moves; those with nothing left are gone."""
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = left[np.searchsorted(left[:, 0], batch.column("gap").to_numpy(), "right") - 1, 1]
+            yield pa.RecordBatch.from_arrays([batch.column("sequence"), pa.array(own)], ["sequence", "size"])
+
+    return rows.select("sequence", "gap").mapInArrow(sizes, "sequence long, size long").filter("size > 0")
+
+
+def best_fit(pieces: DataFrame, capacity: int, number: str = "number", size: str = "size") -> DataFrame:
     """(number, sequence, offset) of each piece; ``number`` is distinct, ``size`` at most ``capacity``.
 
-    Sequences are named by the number of the piece that opened them.
+    Sequences are numbered from 0 without a hole.
     """
-    bounds = [capacity]
-    while bounds[-1] > 1:
-        bounds.append(bounds[-1] // STEP)
-    bounds = bounds[::-1]  # range r holds sizes over bounds[r] up to bounds[r + 1]; the last is the top
-    top = len(bounds) - 2
-    of = sum(((F.col("size") > b).cast("int") for b in bounds[1:-1]), F.lit(0))
+    spark = pieces.sparkSession
     given = pieces.select(F.col(number).cast("long").alias("number"), F.col(size).cast("long").alias("size"))
-    nothing = F.lit(-1).cast("long")
-    whole = given.filter(F.col("size") >= capacity).select("number", "size", F.col("number").alias("sequence"))
-    state = stage(given.filter(F.col("size") < capacity).select(
-        F.lit("doc").alias("kind"), "number", "size", nothing.alias("sequence"), of.cast("int").alias("look")), "packing")
-    placed, step = [whole], 0
-    while True:
-        docs = state.filter("kind = 'doc'").withColumn("look", F.least("look", F.lit(top)))
-        gaps = state.filter("kind = 'gap'").withColumn("look", of.cast("int"))
-        waiting = F.col("look") < top - step  # ranges from the top down; a document that has started never waits again
-        active = docs.filter(~waiting).unionByName(gaps)
-        counts = {r["look"]: r["n"] for r in active.groupBy("look").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per range
-        left = docs.count()
-        if not left:
-            break
-        parts = F.coalesce(*[F.when(F.col("look") == r, F.lit(-(-n // task_rows))) for r, n in sorted(counts.items())], F.lit(1)) if counts else F.lit(1)
-        share = F.pmod(F.xxhash64("number", "sequence", F.lit(step)), parts)
-        met = active.withColumn("share", share).groupBy("look", "share").applyInArrow(lambda t: _superstep(t, capacity, top), _STATE)
-        state = stage(met.unionByName(docs.filter(waiting)), "packing")
-        placed.append(state.filter("kind = 'placed'").select("number", "size", "sequence"))
-        step += 1
-    together = union_all(placed)
-    order = Window.partitionBy("sequence").orderBy(F.desc("size"), "number").rowsBetween(Window.unboundedPreceding, -1)
-    return together.select("number", "sequence", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("offset"))
+    place = (F.col("place") - 1).alias("place")
+    docs = stage(dense_key(given, ["size", "number"], "place", "long", limits=_SPREAD).select("number", "size", place), "packing")
+    counts = {r["size"]: r["n"] for r in docs.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per size
+    if counts and (min(counts) < 0 or max(counts) > capacity):
+        raise ValueError(f"sizes from {min(counts)} to {max(counts)}, but a sequence holds 0 to {capacity}")
+    starts = dict(zip(sorted(counts), np.cumsum([0] + [counts[s] for s in sorted(counts)]).tolist(), strict=False))
+
+    placed, opened = [], 0
+    gaps: DataFrame | None = None  # sequence, size, gap: its place among the gaps by size
+    by_size: dict[int, int] = {}
+    high = capacity
+    while high:
+        low, top = high // STEP, high
+        high = low
+        wanted = [(s, starts[s], counts[s]) for s in sorted(counts, reverse=True) if low < s <= top]
+        if not wanted:
+            continue
+        moves, left, new = sweep(wanted, sorted(by_size.items()), capacity)
+        known, before, opened = sum(by_size.values()), opened, opened + new
+        found = _places(docs.filter((F.col("size") > low) & (F.col("size") <= top)), moves)
+        sequence = F.col("gap") - known + before
+        if gaps is not None:
+            found = found.join(gaps.select("gap", "sequence").hint("merge"), "gap", "left")
+            sequence = F.coalesce("sequence", sequence)
+        placed.append(found.select("number", sequence.alias("sequence"), (F.lit(capacity) - F.col("room") + F.col("inside")).alias("offset")))
+
+        ends = np.append(left[1:, 0], known + new)
+        by_size = {}
+        for gap, n in zip(left[:, 1].tolist(), (ends - left[:, 0]).tolist(), strict=True):
+            if gap:
+                by_size[gap] = by_size.get(gap, 0) + n
+        if low and by_size and min(counts) <= low:
+            fresh = spark.range(new).select((F.col("id") + before).alias("sequence"), (F.col("id") + known).alias("gap"))
+            rows = fresh if gaps is None else gaps.select("sequence", "gap").unionByName(fresh)
+            sized = dense_key(_sizes_left(rows, left), ["size", "sequence"], "place", "long", limits=_SPREAD)
+            gaps = stage(sized.select("sequence", "size", (F.col("place") - 1).alias("gap")), "packing")
+        else:
+            gaps = None
+    if 0 in counts:
+        spread = F.pmod("place", F.lit(max(opened, 1)))
+        placed.append(docs.filter("size = 0").select("number", spread.alias("sequence"), F.lit(0).cast("long").alias("offset")))
+    if not placed:
+        return docs.select("number", F.col("place").alias("sequence"), F.col("place").alias("offset"))
+    return union_all(placed)
 
 
 # --- documents ------------------------------------------------------------------------------
@@ -159,7 +209,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, k
     return stage(cut, "pieces")
 
 
-def pack_documents(pieces: DataFrame, capacity: int, task_rows: int = TASK_ROWS) -> DataFrame:
+def pack_documents(pieces: DataFrame, capacity: int) -> DataFrame:
     """``encode_pieces`` rows with the sequence and the offset of each."""
-    room = best_fit(pieces.select("number", "length"), capacity, "number", "length", task_rows)
+    room = best_fit(pieces.select("number", "length"), capacity, "number", "length")
     return pieces.join(room, "number")

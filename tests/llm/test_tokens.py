@@ -1,3 +1,5 @@
+import bisect
+import collections
 import random
 import zlib
 
@@ -102,23 +104,67 @@ def check_packing(found, capacity):
     return len(by_sequence)
 
 
-@pytest.mark.parametrize("task_rows", [200_000, 40])
-def test_packing(docs, rows, plain, task_rows):
+def plain_best_fit(sizes, capacity):
+    """What is left of each sequence after a best fit by decreasing size, one piece after the other."""
+    gaps = []
+    for size in sorted(sizes, reverse=True):
+        k = bisect.bisect_left(gaps, size)
+        bisect.insort(gaps, (gaps.pop(k) if k < len(gaps) else capacity) - size)
+    return gaps
+
+
+def left_over(found, capacity):
+    taken = collections.Counter()
+    for r in found:
+        taken[r["sequence"]] += r["length"]
+    return sorted(capacity - n for n in taken.values())
+
+
+def test_packing(docs, rows, plain):
     pieces = packing.encode_pieces(docs, LOWER, 1, 256)
-    found = packing.pack_documents(pieces, 256, task_rows).collect()
+    found = packing.pack_documents(pieces, 256).collect()
     want = []
     for key, text, *_ in rows:
         ids = plain[LOWER].encode(text or "", add_special_tokens=False).ids + [1]
         want += [(key, k, a, min(256, len(ids) - a), zlib.crc32(np.array(ids[a : a + 256], np.uint32).tobytes())) for k, a in enumerate(range(0, len(ids), 256))]
     got = [(r["key"], r["piece"], r["start"], r["length"], zlib.crc32(r["ids"])) for r in found]
     assert sorted(got, key=repr) == sorted(want, key=repr)
-    bound = -(-sum(w[3] for w in want) // 256)
-    assert check_packing(found, 256) <= bound * (1.02 if task_rows > 40 else 1.15)
+    check_packing(found, 256)
+    assert left_over(found, 256) == plain_best_fit([w[3] for w in want], 256)
+
+
+@pytest.mark.parametrize("capacity", [1, 7, 64, 300])
+def test_sweep_leaves_what_a_plain_best_fit_leaves(capacity):
+    rnd = random.Random(capacity)
+    for _ in range(100):
+        sizes = [min(capacity, 1 + int(rnd.expovariate(8 / capacity))) if rnd.random() < 0.7 else min(capacity, 3) for _ in range(rnd.randint(1, 300))]
+        count = collections.Counter(sizes)
+        starts = {s: sum(n for t, n in count.items() if t < s) for s in count}
+        _, left, new = packing.sweep([(s, starts[s], count[s]) for s in sorted(count, reverse=True)], [], capacity)
+        ends = [*left[1:, 0].tolist(), new]
+        assert sorted(g for (first, g), end in zip(left.tolist(), ends, strict=True) for _ in range(end - first)) == plain_best_fit(sizes, capacity)
+
+
+def test_packing_does_not_depend_on_partitions(spark):
+    rnd = random.Random(3)
+    sizes = [1 + int(rnd.paretovariate(0.7)) % 100 if rnd.random() < 0.7 else 9 for _ in range(2000)]
+    given = spark.createDataFrame(list(enumerate(sizes)), "number long, length long")
+    one, many = (packing.best_fit(given.repartition(n), 100, "number", "length").join(given, "number").collect() for n in (1, 23))
+    assert sorted((r["number"], r["sequence"], r["offset"]) for r in one) == sorted((r["number"], r["sequence"], r["offset"]) for r in many)
+    check_packing(one, 100)
+    assert left_over(one, 100) == plain_best_fit(sizes, 100)
+    assert {r["sequence"] for r in one} == set(range(len(plain_best_fit(sizes, 100))))
 
 
 def test_packing_of_ties_and_nothing(spark, nothing):
     same = spark.range(1000).select(F.col("id").alias("number"), F.lit(3).alias("length"))
-    found = packing.best_fit(same, 10, "number", "length", 100).join(same, "number").collect()
-    assert len(found) == 1000 and check_packing(found, 10) <= 345
+    found = packing.best_fit(same, 10, "number", "length").join(same, "number").collect()
+    assert len(found) == 1000 and check_packing(found, 10) == 334
     assert packing.best_fit(same.limit(0), 10, "number", "length").count() == 0
     assert packing.encode_pieces(nothing, LOWER, 1, 64).count() == 0
+    empty = spark.range(5).select(F.col("id").alias("number"), F.when(F.col("id") < 3, 0).otherwise(7).alias("length"))
+    found = packing.best_fit(empty, 10, "number", "length").orderBy("number").collect()
+    assert [r["offset"] for r in found] == [0] * 5 and {r["sequence"] for r in found[3:]} == {0, 1} and {r["sequence"] for r in found[:3]} <= {0, 1}
+    assert packing.best_fit(empty.filter("length = 0"), 10, "number", "length").count() == 3
+    with pytest.raises(ValueError):
+        packing.best_fit(empty, 6, "number", "length")
