@@ -1,6 +1,6 @@
 """Best-fit packing of pieces into sequences, in bulk-synchronous supersteps.
 
-Sizes are divided into a few ranges, each four times the one below; a superstep takes
+Sizes are divided into a few ranges, each sixteen times the one below; a superstep takes
 the documents of one range, from the largest sizes down, and every gap left so far:
 
 1. Documents and gaps are sorted by size over all tasks (range partitions, an offset
@@ -36,14 +36,11 @@ from pyspark.sql import functions as F
 
 from starfold.llm.common import own_columns, slices
 from starfold.llm.encoding import encoder
-from starfold.operators.keys import dense_key
-from starfold.operators.skew import Limits
 from starfold.sources import stage, union_all
 
 #: Ratio of neighbouring ranges of sizes.
-STEP = 4
-#: Every sort is spread over tasks, however few its rows are.
-_SPREAD = Limits(one_task_rows=0)
+STEP = 16
+_ROW_BITS = 33  # monotonically_increasing_id keeps the row number within a partition in these low bits
 
 
 def sweep(docs: list[tuple[int, int, int]], gaps: list[tuple[int, int]], capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -101,6 +98,28 @@ def sweep(docs: list[tuple[int, int, int]], gaps: list[tuple[int, int]], capacit
     return np.array(sorted(moves), np.int64).reshape(-1, 5), np.array(sorted(left), np.int64).reshape(-1, 2), end - known
 
 
+def _sorted_by(rows: DataFrame, *by: str) -> tuple[DataFrame, np.ndarray]:
+    """The rows in range partitions, sorted and stored with ``at`` (partition and row), and how many rows are before each partition."""
+    at = F.monotonically_increasing_id().alias("at")
+    found = stage(rows.repartitionByRange(*by).sortWithinPartitions(*by).select("*", at), "packing")
+    part = F.shiftright("at", _ROW_BITS).alias("part")
+    counts = {r["part"]: r["n"] for r in found.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per partition
+    return found, np.cumsum([0] + [counts.get(i, 0) for i in range(max(counts, default=0))])
+
+
+def _numbered(rows: DataFrame, before: np.ndarray, name: str) -> DataFrame:
+    """Rows of ``_sorted_by`` with their place in the whole order."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("at").to_numpy()
+            place = before[at >> _ROW_BITS] + (at & ((1 << _ROW_BITS) - 1))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns)), pa.array(place, pa.int64())], [*batch.schema.names, name])
+
+    kinds = ", ".join(f"{c} {kind}" for c, kind in rows.dtypes)
+    return rows.mapInArrow(number, f"{kinds}, {name} long")
+
+
 def _places(rows: DataFrame, moves: np.ndarray) -> DataFrame:
     """(number, gap, offset in its sequence less what was taken of it before) of documents."""
 
@@ -132,8 +151,7 @@ def best_fit(pieces: DataFrame, capacity: int, number: str = "number", size: str
     """
     spark = pieces.sparkSession
     given = pieces.select(F.col(number).cast("long").alias("number"), F.col(size).cast("long").alias("size"))
-    place = (F.col("place") - 1).alias("place")
-    docs = stage(dense_key(given, ["size", "number"], "place", "long", limits=_SPREAD).select("number", "size", place), "packing")
+    docs, docs_before = _sorted_by(given, "size", "number")
     counts = {r["size"]: r["n"] for r in docs.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per size
     if counts and (min(counts) < 0 or max(counts) > capacity):
         raise ValueError(f"sizes from {min(counts)} to {max(counts)}, but a sequence holds 0 to {capacity}")
@@ -151,7 +169,7 @@ def best_fit(pieces: DataFrame, capacity: int, number: str = "number", size: str
             continue
         moves, left, new = sweep(wanted, sorted(by_size.items()), capacity)
         known, before, opened = sum(by_size.values()), opened, opened + new
-        found = _places(docs.filter((F.col("size") > low) & (F.col("size") <= top)), moves)
+        found = _places(_numbered(docs.filter((F.col("size") > low) & (F.col("size") <= top)), docs_before, "place"), moves)
         sequence = F.col("gap") - known + before
         if gaps is not None:
             found = found.join(gaps.select("gap", "sequence").hint("merge"), "gap", "left")
@@ -166,15 +184,14 @@ def best_fit(pieces: DataFrame, capacity: int, number: str = "number", size: str
         if low and by_size and min(counts) <= low:
             fresh = spark.range(new).select((F.col("id") + before).alias("sequence"), (F.col("id") + known).alias("gap"))
             rows = fresh if gaps is None else gaps.select("sequence", "gap").unionByName(fresh)
-            sized = dense_key(_sizes_left(rows, left), ["size", "sequence"], "place", "long", limits=_SPREAD)
-            gaps = stage(sized.select("sequence", "size", (F.col("place") - 1).alias("gap")), "packing")
+            gaps = _numbered(*_sorted_by(_sizes_left(rows, left), "size", "sequence"), "gap")
         else:
             gaps = None
     if 0 in counts:
         spread = F.pmod("place", F.lit(max(opened, 1)))
-        placed.append(docs.filter("size = 0").select("number", spread.alias("sequence"), F.lit(0).cast("long").alias("offset")))
+        placed.append(_numbered(docs.filter("size = 0"), docs_before, "place").select("number", spread.alias("sequence"), F.lit(0).cast("long").alias("offset")))
     if not placed:
-        return docs.select("number", F.col("place").alias("sequence"), F.col("place").alias("offset"))
+        return docs.select("number", F.col("number").alias("sequence"), F.col("size").alias("offset"))  # no rows
     return union_all(placed)
 
 
