@@ -83,13 +83,12 @@ def _bucket(least: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _bucket_sizes(batches: Iterator[pa.RecordBatch], window: int, gram: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
+    """A row per slice of text and bucket that it has strings for, however many buckets there are."""
     for batch in slices(batches, limit=PACK_BYTES):
         _, _, least, strings = _super_kmers(batch.column("text").to_pylist(), window, gram)
-        got = np.bincount(_bucket(least, buckets), weights=[len(s) for s in strings], minlength=buckets).astype(np.int64)
-        total = got if not len(total) else total + got
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict({"bucket": pa.array(used, pa.int64()), "bytes": pa.array(total[used], pa.int64())})
+        used, which = np.unique(_bucket(least, buckets), return_inverse=True)
+        size = np.bincount(which, weights=[len(s) for s in strings], minlength=len(used)).astype(np.int64)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(used, pa.int64()), "bytes": pa.array(size, pa.int64())})
 
 
 _PACKED = "bucket long, part long, texts binary, sizes binary, which binary, keys binary, marks binary, at binary"
