@@ -3,8 +3,11 @@
 1. One pass describes each document: size and fingerprint of its set. Sets with
    equal grams are one class from here on, so copies cost nothing.
 2. A second pass sends grams to buckets, where those of two or more classes are
-   told: a gram that a block of documents has twice is known to be shared at once and
-   is sent once for the whole block, so frequent grams cost a row per block. Grams of one class come
+   told. A gram that a block of documents has twice is known to be shared at once: its
+   bucket gets it once for the whole block, and its entries go straight to the parts of
+   their classes, so a gram of all documents is spread over all parts. Of a class with very many copies
+   one document is sent. A block is sent as a row per lane; buckets beyond the number of lanes get their rows
+   from many blocks of a lane together, so rows stay long however many buckets there are. Grams of one class come
    first in the order of every set. Only a class whose shared grams alone could
    reach the similarity goes on, with these grams and its size; they are all
    that an overlap can consist of.
@@ -17,7 +20,7 @@
    class is already the answer; and where a set is linked to a similar one, the
    overlaps computed for that one bound its own, so they are not computed again.
 
-Grams are 64-bit hashes, sets 128-bit fingerprints.
+Grams are 64-bit hashes; a class is named by both halves of a 128-bit fingerprint of its set.
 
 Defined cases: null, empty and blank texts have an empty set and link with
 nothing; a text of fewer words than a gram is one gram of all its words; null
@@ -42,8 +45,12 @@ from starfold.sources import stage
 
 #: Bytes of text whose grams are compared and sent together, and of the text whose grams share a bucket.
 BLOCK, BUCKET_BYTES = 8 << 20, 8 << 20
-#: Grams in the sets that one task joins, about.
-GROUP_GRAMS = 2_000_000
+#: Grams in the sets that one task joins, about, and entries of a lane that are dealt to its buckets together.
+GROUP_GRAMS, LOT_GRAMS = 2_000_000, 2_000_000
+#: Rows that a block is sent in, for each of its two kinds; beyond so many buckets these get theirs by a second step.
+LANES = 2048
+#: A class has very many copies if it has at least HOT_COPIES and one in HOT_CLASSES of all documents, so there are no more such classes.
+HOT_COPIES, HOT_CLASSES = 1000, 2048
 
 
 def gram_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
@@ -71,129 +78,187 @@ def prefix_length(size, percent: int):
 _DESCRIBED = "key long, mark long, n long, class long, other long"
 
 
+def _columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _fingerprint(grams: np.ndarray, seed: int) -> tuple[int, int]:
-    both = xxhash.xxh3_128_intdigest(grams.tobytes(), seed)
+def _fingerprint(grams: np.ndarray) -> tuple[int, int]:
+    """The name of a class: both halves of a 128-bit hash of its grams."""
+    both = xxhash.xxh3_128_intdigest(grams.tobytes())
     return _signed(both & ((1 << 64) - 1)), _signed(both >> 64)
 
 
-def _describe(batches: Iterator[pa.RecordBatch], n: int, seed: int) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, limit=BLOCK):
         sets = gram_sets(batch.column("text").to_pylist(), n)
-        prints = [_fingerprint(s, seed) for s in sets]
+        prints = [_fingerprint(s) for s in sets]
         known = [pa.array([len(s) for s in sets], pa.int64()), *(pa.array([p[i] for p in prints], pa.int64()) for i in (0, 1))]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), *known], [c.split()[0] for c in _DESCRIBED.split(", ")])
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), *known], _columns(_DESCRIBED))
 
 
 # --- 2: shared grams ----------------------------------------------------------------------
 
-_SENT = "bucket long, grams binary, owners binary, classes binary, sizes binary, local_grams binary, local_owners binary"
-_NOBODY = np.uint16(65535)
+#: A row of entries. Places from 0 are buckets of grams; place -1 - p is part p of the classes, whose grams are known to be shared.
+_ENTRIES = "place long, grams binary, owners binary, classes binary, sizes binary"
 
 
-def _columns(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
+def _buckets(gram: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(gram ^ np.uint64(0xA7)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _send(batches: Iterator[pa.RecordBatch], n: int, seed: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """A row per bucket and block: its grams with the class that has each (nobody's if several have), and, apart, those of several."""
-    for batch in slices(batches, limit=BLOCK):
-        own: dict[int, np.ndarray] = {}
-        for s in gram_sets(batch.column("text").to_pylist(), n):
-            if len(s):
-                own.setdefault(_fingerprint(s, seed)[0], s)
-        items = list(own.items())
-        for start in range(0, len(items), 60_000):  # owners are numbered by 16 bits
-            part = items[start : start + 60_000]
-            classes = np.array([c for c, _ in part], np.int64)
-            sizes = np.array([len(s) for _, s in part], np.int64)
-            gram = np.concatenate([s for _, s in part])
-            owner = np.repeat(np.arange(len(part)), sizes).astype(np.uint16)
-            bucket = (mix(gram ^ np.uint64(0xA7)) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((gram, bucket))
-            gram, owner, bucket = gram[order], owner[order], bucket[order]
-            first = np.ones(len(gram), bool)
-            first[1:] = gram[1:] != gram[:-1]
-            several = np.zeros(len(gram), bool)
-            several[1:] |= ~first[1:]
-            several[:-1] |= ~first[1:]
-            cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(gram)]
-            out: list[list] = [[] for _ in _columns(_SENT)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                once, many = first[a:b], several[a:b]
-                own_gram, own_owner = gram[a:b], owner[a:b]
-                used = np.unique(own_owner)
-                number = np.searchsorted(used, own_owner).astype(np.uint16)
-                sent = np.where(many, _NOBODY, number)[once]
-                row = (own_gram[once], sent, classes[used], sizes[used], own_gram[many], number[many])
-                for column, value in zip(out, [int(bucket[a]), *map(packed, row)], strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if i == 0 else pa.binary()) for i, v in enumerate(out)], _columns(_SENT))
-
-
-_SHARED = "part long, grams binary, classes binary, sizes binary"
-
-
-def _told(table: pa.Table, parts: int) -> pa.Table:
-    """The shared grams of one bucket, each with its class and the class's size, dealt by class."""
-    get = lambda name, kind: [unpacked(x.as_py(), kind) for x in table.column(name)]
-    grams, owners, local, local_owner = get("grams", np.uint64), get("owners", np.uint16), get("local_grams", np.uint64), get("local_owners", np.uint16)
-    classes, sizes = get("classes", np.int64), get("sizes", np.int64)
-    base = np.cumsum([0] + [len(c) for c in classes])
-    name, size = np.concatenate(classes), np.concatenate(sizes)
-    nobody = len(name)
-    gram = np.concatenate(grams)
-    owner = np.concatenate([np.where(o == _NOBODY, nobody, o.astype(np.int64) + b) for o, b in zip(owners, base, strict=False)])
-    order = np.argsort(gram, kind="stable")
+def _parts(names: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(names[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _small(numbers: np.ndarray, classes: int) -> np.ndarray:
+    """Numbers of owners in the type that both sides take for so many classes."""
+    return numbers.astype(np.uint16 if classes < 65535 else np.uint32)
+
+
+def _deal(place: np.ndarray, gram: np.ndarray, owner: np.ndarray, names: np.ndarray, sizes: np.ndarray) -> list[tuple]:
+    """A row per place: grams, the numbers of their owners (-1, for several: the number after the last), and the owners' classes and sizes."""
+    order = np.lexsort((gram, place))
+    place, gram, owner = place[order], gram[order], owner[order]
+    cuts = [*np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])).tolist(), len(place)] if len(place) else []
+    rows = []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        own = owner[a:b]
+        used = np.unique(own[own >= 0])
+        number = _small(np.where(own < 0, len(used), np.searchsorted(used, own)), len(used))
+        rows.append((int(place[a]), *map(packed, (gram[a:b], number, names[used], sizes[used]))))
+    return rows
+
+
+def _as_table(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * 5
+    return pa.table([pa.array(c, pa.int64() if i == 0 else pa.binary()) for i, c in enumerate(columns)], _columns(_ENTRIES))
+
+
+def _read(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    for place, grams, owners, classes, sizes in zip(*(table.column(c).to_pylist() for c in _columns(_ENTRIES)), strict=True):
+        names = unpacked(classes, np.int64).reshape(-1, 2)
+        number = unpacked(owners, np.uint16 if len(names) < 65535 else np.uint32).astype(np.int64)
+        yield place, unpacked(grams, np.uint64), np.where(number == len(names), -1, number), names, unpacked(sizes, np.int64)
+
+
+def _merged(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Grams, owners, classes and sizes of rows together; classes are equal only if both halves of their names are."""
+    every, size = np.concatenate([r[3] for r in rows]), np.concatenate([r[4] for r in rows])
+    order = np.lexsort((every[:, 1], every[:, 0]))
+    every = every[order]
+    new = np.ones(len(every), bool)
+    new[1:] = (every[1:] != every[:-1]).any(axis=1)
+    number = np.empty(len(every), np.int64)
+    number[order] = np.cumsum(new) - 1
+    base = np.cumsum([0] + [len(r[3]) for r in rows])
+    owner = [np.append(number[a:b], -1)[r[2]] for r, a, b in zip(rows, base, base[1:], strict=False)]  # -1 is the last
+    return np.concatenate([r[1] for r in rows]), np.concatenate(owner), every[new], size[order][new]
+
+
+def _distinct(gram: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries by owner, then gram, each once."""
+    order = np.lexsort((gram, owner))
     gram, owner = gram[order], owner[order]
-    named = np.append(name, 0)[owner]
     new = np.ones(len(gram), bool)
-    new[1:] = gram[1:] != gram[:-1]
-    group = np.cumsum(new) - 1
-    # shared: several of a block have it, or two entries are of different classes
-    low = np.full(group[-1] + 1, np.iinfo(np.int64).max)
-    high = np.full(group[-1] + 1, np.iinfo(np.int64).min)
-    np.minimum.at(low, group, named)
-    np.maximum.at(high, group, named)
-    shared = low != high
-    shared[group[owner == nobody]] = True
-    keep = shared[group] & (owner != nobody)
-    gram = np.concatenate([gram[keep], *local])
-    owner = np.concatenate([owner[keep], *(o.astype(np.int64) + b for o, b in zip(local_owner, base, strict=False))])
-    part = (mix(name.view(np.uint64)) % np.uint64(parts)).astype(np.int64)[owner]
-    order = np.argsort(part, kind="stable")
-    gram, owner, part = gram[order], owner[order], part[order]
-    cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
-    out: list[list] = [[] for _ in _columns(_SHARED)]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        for column, value in zip(out, [int(part[a]), packed(gram[a:b]), packed(name[owner[a:b]]), packed(size[owner[a:b]])], strict=True):
-            column.append(value)
-    return pa.table([pa.array(v, pa.int64() if i == 0 else pa.binary()) for i, v in enumerate(out)], _columns(_SHARED))
+    new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+    return gram[new], owner[new]
 
 
-_SETS = "class long, n long, grams binary"
+def _send(batches: Iterator[pa.RecordBatch], n: int, buckets: int, lanes: int, hot: dict) -> Iterator[pa.RecordBatch]:
+    """Grams of a block by bucket, once each, with the class that has them (nobody's if several have); entries of the latter by class.
+
+    Of a class with very many copies (``hot``: its least key) only that document is sent.
+    """
+    for batch in slices(batches, limit=BLOCK):
+        own: dict[tuple[int, int], np.ndarray] = {}
+        for key, s in zip(batch.column("key").to_pylist(), gram_sets(batch.column("text").to_pylist(), n), strict=True):
+            if len(s):
+                name = _fingerprint(s)
+                if hot.get(name, key) == key:
+                    own.setdefault(name, s)
+        if not own:
+            continue
+        names, sizes = np.array(list(own), np.int64), np.array([len(s) for s in own.values()], np.int64)
+        gram, owner = np.concatenate(list(own.values())), np.repeat(np.arange(len(own)), sizes)
+        order = np.argsort(gram, kind="stable")
+        gram, owner = gram[order], owner[order]
+        first = np.ones(len(gram), bool)
+        first[1:] = gram[1:] != gram[:-1]
+        several = ~first
+        several[:-1] |= ~first[1:]
+        rows = _deal(_buckets(gram[first], buckets) % lanes, gram[first], np.where(several, -1, owner)[first], names, sizes)
+        rows += _deal(-1 - _parts(names[owner[several]], buckets) % lanes, gram[several], owner[several], names, sizes)
+        yield from _as_table(rows).to_batches(max_chunksize=64)
+
+
+def _split(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of lanes, many blocks of one lane together, as rows of the buckets and parts in it."""
+    held: list[tuple] = []
+    entries = 0
+
+    def dealt() -> Iterator[pa.RecordBatch]:
+        gram, owner, names, sizes = _merged(held)
+        gram, owner = _distinct(gram, owner)
+        place = _buckets(gram, buckets) if held[0][0] >= 0 else -1 - _parts(names[owner], buckets)
+        yield from _as_table(_deal(place, gram, owner, names, sizes)).to_batches(max_chunksize=1024)
+
+    for batch in batches:
+        for row in _read(batch):
+            if held and (row[0] != held[0][0] or entries + len(row[1]) > LOT_GRAMS):
+                yield from dealt()
+                held, entries = [], 0
+            held.append(row)
+            entries += len(row[1])
+    if held:
+        yield from dealt()
+
+
+def _by_place(rows: DataFrame, buckets: int, lanes: int) -> DataFrame:
+    """Rows of lanes as rows of buckets and parts; the same thing as long as there are no more of these than lanes."""
+    if buckets <= lanes:
+        return rows
+    return rows.repartition("place").sortWithinPartitions("place").mapInArrow(lambda it: _split(it, buckets), _ENTRIES)
+
+
+def _told(table: pa.Table, buckets: int, lanes: int) -> pa.Table:
+    """The shared grams of one bucket, each with its class and the class's size, dealt by class; those known before go on as they are."""
+    rows = list(_read(table))
+    gram, owner, names, sizes = _merged(rows)
+    if rows[0][0] >= 0:
+        order = np.argsort(gram, kind="stable")
+        gram, owner = gram[order], owner[order]
+        start = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        low, high = np.minimum.reduceat(owner, start), np.maximum.reduceat(owner, start)
+        # several of a block have it, or two entries are of different classes
+        shared = np.repeat((low < 0) | (low != high), np.diff(np.append(start, len(gram))))
+        gram, owner = gram[shared & (owner >= 0)], owner[shared & (owner >= 0)]
+    return _as_table(_deal(-1 - _parts(names[owner], buckets) % lanes, gram, owner, names, sizes))
+
+
+_SETS = "class long, other long, n long, grams binary"
 
 
 def _gather(table: pa.Table, percent: int) -> pa.Table:
     """The classes of one part whose shared grams could make up a link, with these grams."""
-    whole = lambda name, kind: np.concatenate([unpacked(x.as_py(), kind) for x in table.column(name)])
-    gram, cls, size = whole("grams", np.uint64), whole("classes", np.int64), whole("sizes", np.int64)
-    order = np.lexsort((gram, cls))
-    gram, cls, size = gram[order], cls[order], size[order]
-    new = np.ones(len(gram), bool)
-    new[1:] = (gram[1:] != gram[:-1]) | (cls[1:] != cls[:-1])  # copies in several blocks tell the same
-    gram, cls, size = gram[new], cls[new], size[new]
-    cuts = [*np.flatnonzero(np.diff(cls, prepend=cls[:1] - 1)).tolist(), len(cls)]
-    rows = [(int(cls[a]), int(size[a]), gram[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False) if 100 * (b - a) >= percent * size[a]]
-    columns = list(zip(*rows, strict=True)) or [(), (), ()]
-    return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())], _columns(_SETS))
+    gram, owner, names, sizes = _merged(list(_read(table)))
+    gram, owner = _distinct(gram, owner)  # copies in several blocks tell the same
+    cuts = np.searchsorted(owner, np.arange(len(names) + 1)).tolist()
+    rows = [
+        (*names[i].tolist(), int(sizes[i]), gram[a:b].tobytes())
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if 100 * (b - a) >= percent * sizes[i]
+    ]
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.table([pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(columns)], _columns(_SETS))
 
 
 # --- 3: candidates ------------------------------------------------------------------------
 
+#: A class that goes on: its number, the size of its set and its shared grams.
+_MEMBER = ["id", "n", "grams"]
 _LISTED = "bucket long, grams binary, reps binary, lows binary, highs binary, a binary, b binary"
 
 
@@ -215,7 +280,7 @@ def _list(batches: Iterator[pa.RecordBatch], percent: int, buckets: int) -> Iter
     """A row per bucket and batch: chains of the sets listed under each gram (gram, least class, sizes at the ends), and their links."""
     for batch in batches:
         grams, sizes, classes = [], [], []
-        for cls, n, own in zip(*(batch.column(c).to_pylist() for c in _columns(_SETS)), strict=True):
+        for cls, n, own in zip(*(batch.column(c).to_pylist() for c in _MEMBER), strict=True):
             own = np.frombuffer(own, np.uint64)
             own = own[: prefix_length(n, percent) - (n - len(own))]  # grams of one class come first
             grams.append(own)
@@ -224,7 +289,7 @@ def _list(batches: Iterator[pa.RecordBatch], percent: int, buckets: int) -> Iter
         if not grams:
             continue
         gram, size, cls = (np.concatenate(x) for x in (grams, sizes, classes))
-        bucket = (mix(gram ^ np.uint64(0xA7)) % np.uint64(buckets)).astype(np.int64)
+        bucket = _buckets(gram, buckets)
         order = np.lexsort((cls, size, gram, bucket))
         gram, size, cls, bucket = gram[order], size[order], cls[order], bucket[order]
         on = _chains(gram, size, size, percent)
@@ -332,7 +397,7 @@ def linked_classes(names: list[int], sets: list[np.ndarray], percent: int, whole
 
 
 def _join_group(table: pa.Table, percent: int) -> pa.Table:
-    rows = {c: (n, np.frombuffer(g, np.uint64)) for c, n, g in zip(*(table.column(c).to_pylist() for c in _columns(_SETS)), strict=True)}
+    rows = {c: (n, np.frombuffer(g, np.uint64)) for c, n, g in zip(*(table.column(c).to_pylist() for c in _MEMBER), strict=True)}
     roots = linked_classes(list(rows), [g for _, g in rows.values()], percent, [n for n, _ in rows.values()])
     return pa.table({"a": pa.array(list(roots), pa.int64()), "b": pa.array(list(roots.values()), pa.int64())})
 
@@ -340,50 +405,54 @@ def _join_group(table: pa.Table, percent: int) -> pa.Table:
 # --- the join ------------------------------------------------------------------------------
 
 
-def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, group_grams: int = GROUP_GRAMS) -> DataFrame:
+def similarity_classes(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
+    group_grams: int = GROUP_GRAMS, bucket_bytes: int = BUCKET_BYTES, lanes: int = LANES, hot_copies: int = HOT_COPIES,
+) -> DataFrame:
     """One row per document: key, mark (xxhash64 of the text), n_grams, component_id, root.
 
     ``component_id`` is the least key reachable by links; ``root`` names the
     component itself, null for an empty set.
     """
     rows = own_columns(docs, key, text).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
-    for seed in range(8):
-        described = stage(rows.mapInArrow(lambda it, s=seed: _describe(it, n, s), _DESCRIBED), "jaccard-sets")
-        classes = described.filter("n > 0").groupBy("class").agg(
-            F.min("key").alias("least"), F.min("other").alias("other"), F.max("other").alias("other_too"),
-        )
-        classes = stage(classes, "jaccard-classes")
-        if classes.filter("other <> other_too").isEmpty():
-            break  # else two different sets share 64 bits of their fingerprints
+    described = stage(rows.mapInArrow(lambda it: _describe(it, n), _DESCRIBED), "jaccard-sets")
+    name = ["class", "other"]
+    classes = described.filter("n > 0").groupBy(*name).agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
+    classes = stage(classes, "jaccard-classes")
+    often = max(hot_copies, (classes.agg(F.sum("copies")).first()[0] or 0) / HOT_CLASSES)
+    hot = {(r["class"], r["other"]): r["least"] for r in classes.filter(F.col("copies") >= often).collect()}  # at most HOT_CLASSES
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(64, total // BUCKET_BYTES)
-    sent = rows.select("text").mapInArrow(lambda it: _send(it, n, seed, buckets), _SENT)
-    shared = sent.groupBy("bucket").applyInArrow(lambda t: _told(t, buckets), _SHARED)
-    near = stage(shared.groupBy("part").applyInArrow(lambda t: _gather(t, percent), _SETS), "jaccard-shared")
+    buckets = max(64, total // bucket_bytes)
+    lanes = min(buckets, lanes)
+    sent = _by_place(rows.select("key", "text").mapInArrow(lambda it: _send(it, n, buckets, lanes, hot), _ENTRIES), buckets, lanes)
+    shared = _by_place(sent.groupBy("place").applyInArrow(lambda t: _told(t, buckets, lanes), _ENTRIES), buckets, lanes)
+    near = shared.groupBy("place").applyInArrow(lambda t: _gather(t, percent), _SETS).withColumn("id", F.monotonically_increasing_id())
+    near = stage(near, "jaccard-shared")
     del sent, shared
     release(rows.sparkSession)
-    listed = near.mapInArrow(lambda it: _list(it, percent, buckets), _LISTED)
+    listed = near.select(*_MEMBER).mapInArrow(lambda it: _list(it, percent, buckets), _LISTED)
     pairs = listed.groupBy("bucket").applyInArrow(lambda t: _connect(t, percent), "a long, b long").distinct()
     candidates = stage(components(stage(pairs, "jaccard-pairs")), "jaccard-candidates")
 
-    members = candidates.join(near, candidates["node"] == near["class"]).select("class", "root", "n", "grams")
-    sizes = candidates.join(near.select("class", "n"), candidates["node"] == near["class"]).groupBy("root").agg(F.sum("n").alias("sum"))
+    members = candidates.join(near, candidates["node"] == near["id"]).select("root", *_MEMBER)
+    sizes = candidates.join(near.select("id", "n"), candidates["node"] == near["id"]).groupBy("root").agg(F.sum("n").alias("sum"))
     sizes = stage(sizes.withColumn("chunks", F.ceil(F.col("sum") / (4 * group_grams))), "jaccard-sizes")
     small = max(1, (sizes.filter("chunks = 1").agg(F.sum("sum")).first()[0] or 0) // group_grams)
-    own = F.pmod(F.xxhash64("class"), "chunks")
+    own = F.pmod(F.xxhash64("id"), "chunks")
     dealt = members.join(sizes, "root").withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))})
     one = F.concat(F.lit("s"), F.pmod(F.xxhash64("root"), F.lit(small)))
     several = F.concat_ws(" ", "root", F.least("own", "other"), F.greatest("own", "other"))
-    dealt = dealt.withColumn("group", F.when(F.col("chunks") == 1, one).otherwise(several)).select("group", *_columns(_SETS))
+    dealt = dealt.withColumn("group", F.when(F.col("chunks") == 1, one).otherwise(several)).select("group", *_MEMBER)
     found = stage(dealt.groupBy("group").applyInArrow(lambda t: _join_group(t, percent), "a long, b long"), "jaccard-links")
     if sizes.filter("chunks > 1").isEmpty():
-        roots = found.select(F.col("a").alias("class"), F.col("b").alias("root"))
+        roots = found.select(F.col("a").alias("id"), F.col("b").alias("root"))
     else:
-        roots = components(found).withColumnRenamed("node", "class")
-    in_class = classes.select("class", "least").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+        roots = components(found).withColumnRenamed("node", "id")
+    linked = roots.join(near.select("id", *name), "id").select(*name, F.col("root").cast("string").alias("root"))
+    in_class = classes.join(linked, name, "left").withColumn("root", F.coalesce("root", F.concat_ws(" ", *name)))
     least = in_class.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(in_class.join(least, "root").select("class", "root", "component_id"), "jaccard-components")
-    return described.join(named, "class", "left").select(
+    named = stage(in_class.join(least, "root").select(*name, "root", "component_id"), "jaccard-components")
+    return described.join(named, name, "left").select(
         F.col("key").alias(key), "mark", F.col("n").alias("n_grams"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("root")).alias("root"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starfold.llm import exact_dedup, jaccard_join, substring_dedup
 from starfold.llm.components import components
+from starfold.operators.skew import Limits
 
 
 def test_filter_has_every_key_and_few_others():
@@ -81,6 +82,35 @@ def test_similarity_classes(docs, rows, table, n, percent, group):
     assert table(found.select("doc_id", "n_grams", "component_id")) == brute_classes(rows, n, percent)
 
 
+@pytest.mark.parametrize("lanes", [3, 50, 1 << 20])
+def test_buckets_of_any_number(docs, rows, table, lanes):
+    found = jaccard_join.similarity_classes(docs, n=4, percent=85, bucket_bytes=400, lanes=lanes, hot_copies=4)
+    assert table(found.select("doc_id", "n_grams", "component_id")) == brute_classes(rows, 4, 85)
+
+
+def test_rows_sent_do_not_grow_with_the_buckets(docs):
+    def sent(buckets, lanes=16):
+        rows = docs.selectExpr("cast(doc_id as long) as key", "text").repartition(3)
+        return rows.mapInArrow(lambda it: jaccard_join._send(it, 4, buckets, min(buckets, lanes), {}), jaccard_join._ENTRIES)
+
+    many = sent(1 << 20)
+    size = lambda df: df.agg(F.sum(F.octet_length("grams") + F.octet_length("owners") + F.octet_length("classes"))).first()[0]
+    assert many.count() <= sent(16).count() <= 3 * 2 * 16
+    assert size(many) < 2 * size(sent(16))
+    dealt = jaccard_join._by_place(many, 1 << 20, 16)
+    places = dealt.groupBy("place").count()
+    assert dealt.filter("place >= 0").count() <= 3 * places.filter("place >= 0").count()
+
+
+def test_classes_that_share_half_a_name_stay_apart():
+    row = lambda grams, names: (0, np.array(grams, np.uint64), np.arange(len(grams)), np.array(names, np.int64), np.full(len(names), 9))
+    gram, owner, names, sizes = jaccard_join._merged([row([1, 2], [[5, 1], [5, 2]]), row([1, 2], [[5, 2], [6, 1]])])
+    assert names.tolist() == [[5, 1], [5, 2], [6, 1]] and owner.tolist() == [0, 1, 1, 2]
+    table = jaccard_join._as_table(jaccard_join._deal(np.zeros(4, np.int64), gram, owner, names, sizes))
+    told = [r for r in jaccard_join._read(jaccard_join._told(table, 1, 1))]
+    assert sorted((g, *c) for _, gs, o, cs, _ in told for g, c in zip(gs.tolist(), cs[o].tolist(), strict=True)) == [(1, 5, 1), (1, 5, 2), (2, 5, 2), (2, 6, 1)]
+
+
 def test_linked_classes_against_all_pairs():
     rnd = np.random.default_rng(5)
     base = rnd.integers(0, 1 << 60, (6, 60)).astype(np.uint64)
@@ -111,6 +141,14 @@ def test_components(spark, table):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_components_of_hubs(spark, table):
+    star = [(5, i) for i in range(20, 400)] + [(i, 1000 + i % 7) for i in range(300, 390)] + [(2000 + i, 3000) for i in range(300)]
+    edges = spark.createDataFrame(star, "a long, b long").repartition(6)
+    found = components(edges, Limits(hot_rows=50, hot_keys=8))
+    assert table(found) == table(components(edges))
+    assert {r["root"] for r in found.collect()} == {5, 2000}
+
+
 def brute_removal(rows, window):
     first = {}
     for key, text, *_ in rows:
