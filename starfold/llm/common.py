@@ -130,7 +130,10 @@ def as_bytes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 2 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``limit`` bytes of ``column`` (a longer value is alone)."""
+    """The same rows in batches of about ``limit`` bytes of ``column`` (a longer value is alone).
+
+    At the end the worker, which lives on for other stages, gives back the memory that Arrow keeps for reuse.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -139,6 +142,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def packed(values: np.ndarray) -> bytes:

@@ -13,7 +13,8 @@ from array import array
 import numpy as np
 
 #: Pieces and characters in a worker's store; beyond either a new one starts, and the one before is kept to copy from.
-KEPT_PIECES, KEPT_CHARS = 500_000, 12_000_000
+#: Bare words come back sooner than byte-level pieces, which differ by the white space before them.
+KEPT_BYTE_LEVEL, KEPT_WORDS = (500_000, 12_000_000), (150_000, 4_000_000)
 
 _ODD = re.compile("[" + "".join(map(chr, [11, 12, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -36,6 +37,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.normalizer, self.split, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
         self.byte_level, self.kind = byte_level, np.dtype(kind)
+        self.most_pieces, self.most_chars = KEPT_BYTE_LEVEL if byte_level else KEPT_WORDS
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the store before this one
         self.chars = 0
@@ -66,7 +68,7 @@ class Encoder:
             try:
                 ids = b"".join(map(get, own))
             except KeyError:
-                if len(kept) > KEPT_PIECES or self.chars > KEPT_CHARS:
+                if len(kept) > self.most_pieces or self.chars > self.most_chars:
                     self.older, self.kept, self.chars = kept, {}, 0
                     kept, get, older = self.kept, self.kept.__getitem__, self.older
                 for piece in own:

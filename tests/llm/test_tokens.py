@@ -40,7 +40,8 @@ def test_pieces_give_the_ids_of_the_whole_text(plain, rows, path, byte_level):
 
 
 def test_the_store_may_start_anew(plain, monkeypatch):
-    monkeypatch.setattr("starfold.llm.encoding.KEPT_PIECES", 5)
+    monkeypatch.setattr("starfold.llm.encoding.KEPT_BYTE_LEVEL", (5, 12_000_000))
+    monkeypatch.setattr("starfold.llm.encoding.KEPT_WORDS", (5, 12_000_000))
     texts = odd_texts(200, 30)
     got = Encoder(BYTES, True).encode(texts)
     assert [g.tolist() for g in got] == [w.ids for w in plain[BYTES].encode_batch(texts, add_special_tokens=False)]
