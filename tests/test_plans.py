@@ -13,6 +13,7 @@ from starfold.operators import CleanSpec, skew
 from starfold.plans.pipeline import DIMENSIONS, LAYOUT, Rules
 from starfold.rules import Bounds, ClaimRules
 from starfold.sources import current_version, expire_versions
+from verification import registry
 from verification.binding import raw_collisions
 
 SF = "/root/testdata/sf0.001"
@@ -311,6 +312,28 @@ def test_gold_without_claims(spark, lake, tmp_path):
     assert opened.fact_claims is None and "fact_claims" not in opened.register()
 
 
+def test_a_query_builds_only_what_it_reads(spark, lake, gold, tmp_path, rows, monkeypatch):
+    made = Lake(spark, str(tmp_path), lambda: raw_collisions(spark, SF))
+    monkeypatch.setitem(registry._lakes, (spark.sparkContext.applicationId, SF), made)
+    for name in ("q14_severity_by_band", "r03_hourly"):
+        query = {**CATALOG, **REPORTS}[name]
+        assert rows(registry.QUERIES[name](spark, SF)) == rows(query(gold)), name
+        assert not Path(tmp_path, LAYOUT["fact_claims"]).exists() and Path(tmp_path, LAYOUT["fact_collisions"]).exists()
+    assert rows(registry.QUERIES["q15_claim_status_share"](spark, SF)) == rows(CATALOG["q15_claim_status_share"](gold))
+    assert set(made.on_demand().tables()) == set(gold.tables()) and made.on_demand().claims().count() == gold.claims().count()
+
+
+def test_the_raw_input_is_asked_for_once(spark, tmp_path):
+    asked = []
+
+    def raw():
+        asked.append(1)
+        return raw_collisions(spark, SF)
+
+    Lake(spark, str(tmp_path), raw).table("silver")
+    assert asked == [1]
+
+
 def test_reports_of_empty_tables_have_no_rows(gold):
     empty = dataclasses.replace(
         gold, fact_collisions=gold.fact_collisions.filter("false"), fact_claims=gold.fact_claims.filter("false")

@@ -120,11 +120,11 @@ def k_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalog(name: str) -> Query:
-    return lambda spark, sf_dir: CATALOG[name](lake(spark, sf_dir).gold())
+    return lambda spark, sf_dir: CATALOG[name](lake(spark, sf_dir).on_demand())
 
 
 def _report(name: str) -> Query:
-    return lambda spark, sf_dir: REPORTS[name](lake(spark, sf_dir).gold())
+    return lambda spark, sf_dir: REPORTS[name](lake(spark, sf_dir).on_demand())
 
 
 # --- stored lakes, views, inspection ----------------------------------------------
