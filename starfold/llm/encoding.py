@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 
@@ -20,15 +21,32 @@ _ODD = re.compile("[" + "".join(map(chr, [11, 12, 28, 29, 30, 31, 0x85, 0xA0, 0x
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 # white space goes with what follows; a run of Latin letters ends before a common mark
 _PIECE = re.compile("[ \n\r\t]*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[ \n\r\t,.;:!?]|\\Z)|[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
-_WORD = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[\\s,.;:!?]|\\Z)|\\S+")
+# a pre-token of letters ends before any ASCII mark or digit, whatever follows
+_WORD = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[\\s!-@\\[-`{-~]|\\Z)|\\S+")
+_WIDE = re.compile("[^\x00-\xff\u2010-\u2027]")  # of other characters lower case does not change the length, nor the normal form
 _LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+\\Z")
 # byte-level vocabularies write a byte as a letter: itself if it can be seen, else the next one from 256 on
 _SEEN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _LETTER = [chr(b) if b in _SEEN else chr(256 + sum(x not in _SEEN for x in range(b))) for b in range(256)]
 
 
+class _Store(dict):
+    """Ids by piece; a piece asked for the first time is taken over from the store before, or encoded."""
+
+    def __init__(self, direct: Callable[[str], bytes], older: dict[str, bytes]):
+        self.direct, self.older, self.chars = direct, older, 0
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.direct(piece)
+        self[piece] = ids
+        self.chars += len(piece)
+        return ids
+
+
 class Encoder:
-    """``byte_level``: a piece goes with the white space before it; else white space is dropped by the tokenizer."""
+    """``byte_level``: a piece goes with the white space before it; else white space and case are dropped by the tokenizer."""
 
     def __init__(self, path: str, byte_level: bool, kind=np.uint32):
         from tokenizers import Tokenizer
@@ -38,14 +56,14 @@ class Encoder:
         self.normalizer, self.split, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
         self.byte_level, self.kind = byte_level, np.dtype(kind)
         self.most_pieces, self.most_chars = KEPT_BYTE_LEVEL if byte_level else KEPT_WORDS
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # the store before this one
-        self.chars = 0
+        self.kept = _Store(self.direct, {})
 
     def pieces(self, text: str) -> list[str]:
         if self.byte_level:
             return [text] if _ODD.search(text) else _PIECE.findall(text)
-        return [text] if _SEPARATORS.search(text) else _WORD.findall(text)
+        if _SEPARATORS.search(text):
+            return [text]
+        return _WORD.findall(text if _WIDE.search(text) else text.lower())
 
     def direct(self, text: str) -> bytes:
         """Ids of one piece by the tokenizer's own steps: normalise, split, merge."""
@@ -62,20 +80,12 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; null is empty."""
         out = []
-        kept, get, older = self.kept, self.kept.__getitem__, self.older
         for text in texts:
-            own = self.pieces(text) if text else []
-            try:
-                ids = b"".join(map(get, own))
-            except KeyError:
-                if len(kept) > self.most_pieces or self.chars > self.most_chars:
-                    self.older, self.kept, self.chars = kept, {}, 0
-                    kept, get, older = self.kept, self.kept.__getitem__, self.older
-                for piece in own:
-                    if piece not in kept:
-                        kept[piece] = older[piece] if piece in older else self.direct(piece)
-                        self.chars += len(piece)
-                ids = b"".join(map(get, own))
+            kept = self.kept
+            if len(kept) > self.most_pieces or kept.chars > self.most_chars:
+                kept.older = {}
+                kept = self.kept = _Store(self.direct, kept)
+            ids = b"".join(map(kept.__getitem__, self.pieces(text))) if text else b""
             out.append(np.frombuffer(ids, self.kind))
         return out
 

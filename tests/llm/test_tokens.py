@@ -39,6 +39,22 @@ def test_pieces_give_the_ids_of_the_whole_text(plain, rows, path, byte_level):
     assert [g.tolist() for g in got] == [w.ids for w in want]
 
 
+def test_words_are_kept_without_case_and_marks(plain):
+    texts = ["Word### word*** WORD, \xc9t\xe9's (\xe9t\xe9) word\u2019s 3rd_word", "word### \xc9T\xc9"]
+    coder, asked = Encoder(LOWER, False), []
+    coder.kept.direct = lambda piece: asked.append(piece) or coder.direct(piece)
+    got = coder.encode(texts)
+    assert [g.tolist() for g in got] == [w.ids for w in plain[LOWER].encode_batch(texts, add_special_tokens=False)]
+    assert asked == ["word", "###", "***", ",", "\xe9t\xe9", "'s", "(\xe9t\xe9)", "word\u2019s", "3rd_word"]
+
+
+def test_a_mark_or_character_after_a_word(plain):
+    marks = [*map(chr, range(256)), *map(chr, range(0x2010, 0x2028)), "\u0301", "\u0338", "=\u0338", "'s", "'Ve", "\u017f", "\u0130", "\u03a3"]
+    texts = [f"{a}{m}{b}" for m in marks for a in ("It", "\xc5E", "") for b in ("", "s", "S's", "9", " \xdcb")]
+    got = Encoder(LOWER, False).encode(texts)
+    assert [g.tolist() for g in got] == [w.ids for w in plain[LOWER].encode_batch(texts, add_special_tokens=False)]
+
+
 def test_the_store_may_start_anew(plain, monkeypatch):
     monkeypatch.setattr("starfold.llm.encoding.KEPT_BYTE_LEVEL", (5, 12_000_000))
     monkeypatch.setattr("starfold.llm.encoding.KEPT_WORDS", (5, 12_000_000))
